@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import is_event, rate
+from tidemark.functions.columns import is_event, rate, session_key
 from tidemark.operators.scd import active, covers
 from tidemark.operators.sessions import ACTOR, SESSION
 
@@ -125,8 +125,6 @@ def _engagement(rows: DataFrame, keys: list) -> DataFrame:
 
 
 def _dated(features: DataFrame, impressions: DataFrame, attribution: DataFrame) -> DataFrame:
-    from tidemark.functions.columns import session_key
-
     sessions = features.select(
         *ACTOR,
         session_key("user_id", "platform_id", "session_start_ts").alias("session_id"),

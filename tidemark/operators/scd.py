@@ -153,21 +153,22 @@ def merge_users(dim: DataFrame, changes: DataFrame) -> DataFrame:
 
 def product_day(net_new: DataFrame) -> DataFrame:
     """Last name and price of each product on each day."""
-    last = F.max_by(
-        F.struct("product_name", F.col("total_price").cast("decimal(12,2)").alias("price")),
-        F.struct("event_timestamp", "event_id"),
+    last = F.max(
+        F.struct(
+            "event_timestamp", "event_id", "product_name", F.col("total_price").cast("decimal(12,2)").alias("price")
+        )
     )
     return (
         net_new.filter(F.col("product_id").isNotNull())
         .groupBy("product_id", F.to_date("event_timestamp").alias("event_date"))
-        .agg(last.alias("last"), F.max(F.struct("event_timestamp", "event_id")).alias("at"))
+        .agg(last.alias("last"))
         .select(
             "product_id",
             "event_date",
             "last.product_name",
             "last.price",
-            F.col("at.event_timestamp").alias("last_ts"),
-            F.col("at.event_id").alias("last_event_id"),
+            F.col("last.event_timestamp").alias("last_ts"),
+            F.col("last.event_id").alias("last_event_id"),
         )
     )
 
