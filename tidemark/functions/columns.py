@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -43,6 +45,15 @@ def time_bucket(ts, seconds: int) -> Column:
     return F.floor(epoch_seconds(ts) / F.lit(seconds)).cast("long")
 
 
+def pin(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row.
+
+    The optimizer copies a plain column's expression into every later use of it, which multiplies long
+    regular-expression chains; it does not look through a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def codes(c) -> Column:
     """Non-empty codes of a pipe-joined list."""
     return F.filter(F.split(col(c), r"\|"), lambda x: x != "")
@@ -54,3 +65,13 @@ def is_event(name: str) -> Column:
 
 def surrogate(*cols) -> Column:
     return F.xxhash64(*[col(c) for c in cols])
+
+
+def ntz(value) -> Column:
+    """A datetime (or its text) as a zone-less timestamp literal, whatever the local time zone."""
+    text = value if value is None or isinstance(value, str) else value.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)

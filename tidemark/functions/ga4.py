@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import col
+from tidemark.functions.columns import col, pin
 
 # One item: balanced braces down to item > parameter > value; possessive, so it never backtracks.
 ITEM_PATTERN = r"\{(?:[^{}]++|\{(?:[^{}]++|\{[^{}]*+\})*+\})*+\}"
@@ -52,33 +52,44 @@ def number_field(item, name: str) -> Column:
     return _known(F.regexp_extract(col(item), f"{_BEFORE_KEY}{name}=([0-9.]+)", 1), NULL_TOKENS)
 
 
-def param(item, key: str) -> Column:
-    """Value of a parameter: the first of double, float, int, string that is set."""
+def param_body(item, key: str) -> Column:
+    """The text between the braces of a parameter's value."""
+    return F.regexp_extract(col(item), rf"key={key},\s*value=\{{([^}}]*)", 1)
 
-    def typed(kind):
-        # A thousands group such as $1,200.50 belongs to the value.
-        value = r"(-?\$?\d{1,3}(?:,\d{3})+(?:\.\d+)?|[^,}]+)"
-        pattern = rf"key={key},\s*value=\{{[^}}]*?{kind}={value}"
-        return _known(F.regexp_extract(col(item), pattern, 1), NULL_TOKENS)
 
-    return F.coalesce(*[typed(k) for k in VALUE_TYPES])
+def param_value(body) -> Column:
+    """The first of the double, float, int and string values that is set."""
+    # A thousands group such as $1,200.50 belongs to the value.
+    value = r"(-?\$?\d{1,3}(?:,\d{3})+(?:\.\d+)?|[^,}]+)"
+    return F.coalesce(
+        *[_known(F.regexp_extract(col(body), f"{k}={value}", 1), NULL_TOKENS) for k in VALUE_TYPES]
+    )
 
 
-def plain_number(text: Column) -> Column:
+def plain_number(text) -> Column:
     """Number text without currency sign and thousands commas; NULL when it is no number."""
-    clean = F.trim(F.regexp_replace(text, r"[$,]", ""))
+    clean = F.trim(F.regexp_replace(col(text), r"[$,]", ""))
     return F.when(clean.rlike(r"^-?[0-9.]+$"), clean)
 
 
-def parse_item(item, params: dict) -> Column:
-    """All fields of one item as texts."""
-    fields = [text_field(item, f).alias(f) for f in TEXT_FIELDS]
-    fields += [number_field(item, f).alias(f) for f in NUMBER_FIELDS]
-    for key, name in params.items():
-        raw = param(item, key)
+def parse_items(df: DataFrame, item: str, params: dict) -> DataFrame:
+    """Adds ``item``, a struct of all fields of the item text as texts."""
+    df = pin(
+        df,
+        "found",
+        F.struct(
+            *[text_field(item, f).alias(f) for f in TEXT_FIELDS],
+            *[number_field(item, f).alias(f) for f in NUMBER_FIELDS],
+            *[param_body(item, key).alias(name) for key, name in params.items()],
+        ),
+    )
+    df = pin(df, "values", F.struct(*[param_value(f"found.{n}").alias(n) for n in params.values()]))
+    fields = [F.col(f"found.{f}").alias(f) for f in (*TEXT_FIELDS, *NUMBER_FIELDS)]
+    for name in params.values():
         as_text = name in ("discounts", "is_in_stock")
-        fields.append((raw if as_text else plain_number(raw)).alias(name))
-    return F.struct(*fields)
+        value = F.col(f"values.{name}") if as_text else plain_number(f"values.{name}")
+        fields.append(value.alias(name))
+    return pin(df, "item", F.struct(*fields)).drop("found", "values")
 
 
 def split_discounts(codes, pattern: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import ga4
+from tidemark.functions.columns import pin
 from tidemark.options import BACKFILL_FIELDS, DEFAULT_BACKFILL
 
 
@@ -27,8 +28,10 @@ def item_of_row(item_index: int | None) -> Column:
 
 def _with_found(df: DataFrame, fields: dict, item_index) -> DataFrame:
     missing = {f: F.lit(None).cast("string") for f in fields if f not in df.columns}
-    found = {f"found_{f}": ga4.extract_field("item_text", key) for f, key in fields.items()}
-    return df.withColumns(missing).withColumn("item_text", item_of_row(item_index)).withColumns(found)
+    items = pin(df.withColumns(missing), "item_text", item_of_row(item_index))
+    return pin(
+        items, "found", F.struct(*[ga4.extract_field("item_text", key).alias(f) for f, key in fields.items()])
+    )
 
 
 def backfill(
@@ -39,9 +42,7 @@ def backfill(
         return backfill_stats(df, fields, item_index)
     names = _fields(fields)
     filled = _with_found(df, names, item_index)
-    return filled.withColumns({f: F.coalesce(f, f"found_{f}") for f in names}).drop(
-        "item_text", *[f"found_{f}" for f in names]
-    )
+    return filled.withColumns({f: F.coalesce(f, f"found.{f}") for f in names}).drop("item_text", "found")
 
 
 def backfill_stats(df: DataFrame, fields=DEFAULT_BACKFILL, item_index: int | None = None) -> DataFrame:
@@ -55,7 +56,7 @@ def backfill_stats(df: DataFrame, fields=DEFAULT_BACKFILL, item_index: int | Non
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(any_null).alias("rows_needing_backfill"),
         *[F.count_if(F.col(f).isNull()).alias(f"null_{f}") for f in names],
-        *[F.count_if(F.col(f).isNull() & F.col(f"found_{f}").isNotNull()).alias(f"got_{f}") for f in names],
+        *[F.count_if(F.col(f).isNull() & F.col(f"found.{f}").isNotNull()).alias(f"got_{f}") for f in names],
     )
     per_field = F.array(
         *[

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.columns import date_key, is_event
+from tidemark.functions.columns import date_key, is_event, ntz
 from tidemark.operators.scd import campaign_rows, conform, covers
 from tidemark.sources.lookups import resolve_platform
 
@@ -18,7 +18,7 @@ PURCHASE_COLUMNS = [
 
 def fct_events(net_new: DataFrame, platforms: DataFrame, run_ts) -> DataFrame:
     """Immutable event grain; ``run_ts`` stamps both audit columns."""
-    stamp = F.lit(run_ts).cast("timestamp_ntz")
+    stamp = ntz(run_ts)
     rows = (
         resolve_platform(net_new, platforms)
         .withColumn("date_id", F.to_date("event_timestamp"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.columns import ntz
 from tidemark.operators.upsert import newest_per_key
 
 PIPELINE = "silver_events"
@@ -39,7 +40,7 @@ def hwm_bounds(stg: DataFrame, checkpoint: DataFrame | None = None) -> DataFrame
         row = checkpoint.filter(F.col("pipeline") == PIPELINE).first()
         last = [row["hwm_ts"], row["hwm_event_id"]] if row else [None, None]
     return upper.select(
-        F.lit(last[0]).cast("timestamp_ntz").alias("last_ts"),
+        ntz(last[0]).alias("last_ts"),
         F.lit(last[1]).cast("string").alias("last_id"),
         "upper_ts",
         "upper_id",
@@ -51,19 +52,15 @@ def fetch_bounds(bounds: DataFrame) -> Bounds:
     return Bounds(**bounds.first().asDict())
 
 
-def _ntz(value) -> F.Column:
-    return F.lit(value).cast("timestamp_ntz")
-
-
 def current_batch(stg: DataFrame, bounds: Bounds) -> DataFrame:
     """Rows strictly after the last mark, up to the captured upper bound."""
     if bounds.empty:
         return stg.limit(0)
     ts, eid = F.col("ingestion_timestamp"), F.col("event_id")
-    upper = _ntz(bounds.upper_ts)
+    upper = ntz(bounds.upper_ts)
     keep = (ts <= upper) & ((ts < upper) | (eid <= F.lit(bounds.upper_id)))
     if bounds.last_ts is not None:
-        last = _ntz(bounds.last_ts)
+        last = ntz(bounds.last_ts)
         keep = keep & (ts >= last) & ((ts > last) | (eid > F.lit(bounds.last_id)))
     return stg.filter(keep)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import ga4
+from tidemark.functions.columns import ntz, pin
 from tidemark.options import Options
 
 _ITEM_FIELDS = (
@@ -33,10 +34,17 @@ def item_texts(items: Column) -> Column:
     return F.when(is_list, F.from_json(items, "array<string>")).otherwise(ga4.split_items(items))
 
 
-def parse_item(item: str, options: Options) -> Column:
-    listed = F.from_json(F.col(item), _ITEM_STRUCT)
-    text = ga4.parse_item(item, options.item_params)
-    return F.when(F.col(item).rlike(r'^\s*\{\s*"'), listed).otherwise(text.cast(_ITEM_STRUCT))
+def explode_items(events: DataFrame, options: Options = Options()) -> DataFrame:
+    """One row per event and item with the parsed ``item``; events without items give no row."""
+    rows = events.withColumn("item_text", F.explode_outer(item_texts(F.col("items")))).filter(
+        F.col("item_text").isNotNull()
+    )
+    parsed = ga4.parse_items(rows, "item_text", options.item_params).withColumnRenamed("item", "text_item")
+    listed = F.when(
+        F.col("item_text").rlike(r'^\s*\{\s*"'), F.from_json(F.col("item_text"), _ITEM_STRUCT)
+    )
+    from_text = F.struct(*[F.col(f"text_item.{f}").alias(f) for f in _ITEM_FIELDS])
+    return pin(parsed, "item", F.coalesce(listed, from_text)).drop("text_item")
 
 
 def _typed(name: str, kind: str) -> Column:
@@ -51,22 +59,8 @@ def flatten_events(events: DataFrame, run_ts, options: Options = Options()) -> D
 
     ``cast_errors`` names the numeric fields whose text does not fit the column.
     """
-    micros = F.col("event_timestamp").try_cast("bigint")
-    rows = (
-        events.withColumn("micros", micros)
-        .withColumn("item_text", F.explode(item_texts(F.col("items"))))
-        .withColumn("item", parse_item("item_text", options))
-        .withColumn("codes", ga4.split_discounts("item.discounts", options.experiment_pattern))
-    )
-    numbers = {n: _typed(n, k) for n, k in _NUMBERS.items()}
-    errors = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(f"item.{n}").isNotNull() & v.isNull(), F.lit(f"uncastable:{n}"))
-                for n, v in numbers.items()
-            ]
-        )
-    )
+    rows = explode_items(events.withColumn("micros", F.col("event_timestamp").try_cast("bigint")), options)
+    rows = pin(rows, "codes", ga4.split_discounts("item.discounts", options.experiment_pattern))
     stock = F.col("item.is_in_stock")
     columns = {
         "event_id": ga4.event_id("micros", "user_id", "event_name", "item.item_id"),
@@ -79,11 +73,20 @@ def flatten_events(events: DataFrame, run_ts, options: Options = Options()) -> D
         "discount_campaigns": F.col("codes.campaigns"),
         "discount_experiment_variant": F.col("codes.experiment_variant"),
         "is_in_stock": F.coalesce(stock.try_cast("boolean"), stock.try_cast("double") != 0),
-        "ingestion_timestamp": F.lit(run_ts).cast("timestamp_ntz"),
-        **numbers,
+        "ingestion_timestamp": ntz(run_ts),
+        **{n: _typed(n, k) for n, k in _NUMBERS.items()},
     }
     out = [columns.get(n, F.col(n) if n in rows.columns else None).alias(n) for n in schemas.STG_EVENTS.names]
-    return rows.select(*out, errors.alias("cast_errors"))
+    typed = pin(rows, "row", F.struct(*out))
+    errors = F.array_compact(
+        F.array(
+            *[
+                F.when(F.col(f"item.{n}").isNotNull() & F.col(f"row.{n}").isNull(), F.lit(f"uncastable:{n}"))
+                for n in _NUMBERS
+            ]
+        )
+    )
+    return typed.select("row.*", errors.alias("cast_errors"))
 
 
 def without_items(events: DataFrame) -> DataFrame:
@@ -104,7 +107,7 @@ def validate(df: DataFrame, required=Options().required_fields) -> tuple[DataFra
     """Rows to stage, and dead letters of the validate and insert stages."""
     columns = schemas.STG_EVENTS.names
     casts = F.col("cast_errors") if "cast_errors" in df.columns else F.array().cast("array<string>")
-    checked = df.withColumn("errors", validation_errors(required)).withColumn("casts", casts)
+    checked = pin(df.withColumn("casts", casts), "errors", validation_errors(required))
     clean = (F.size("errors") == 0) & (F.size("casts") == 0)
     good = checked.filter(clean).select(*columns)
     invalid = F.size("errors") > 0

@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import time_bucket
+from tidemark.functions.columns import ntz, time_bucket, utc_now
 from tidemark.operators import attribution, facts, incremental, scd, sessions
 from tidemark.operators.incremental import Bounds
 from tidemark.options import Options
@@ -34,7 +34,7 @@ def run_silver(
     run_ts: datetime | None = None,
 ) -> dict:
     """Process new staged rows (or the given batch) and return the run's counts."""
-    run_ts = run_ts or datetime.now()
+    run_ts = run_ts or utc_now()
     done = wh.committed()
     seq = done + 1
     stg = wh.table("stg_events")
@@ -48,7 +48,7 @@ def run_silver(
         bounds = _later(Bounds(last_ts=last and last["hwm_ts"], last_id=last and last["hwm_event_id"]), upper)
 
     stored = wh.table("fct_events", done)
-    new = _cut(wh, incremental.net_new(incremental.dedup_latest(batch), stored), "net_new", seq)
+    new = cut(wh, incremental.net_new(incremental.dedup_latest(batch), stored), "net_new", seq)
     new_rows = new.count()
     batch_rows = batch.count()
     if new_rows:
@@ -85,7 +85,7 @@ def _later(last: Bounds, upper: Bounds) -> Bounds:
     return Bounds(last.last_ts, last.last_id, upper.upper_ts, upper.upper_id)
 
 
-def _cut(wh: Warehouse, df: DataFrame, name: str, seq: int) -> DataFrame:
+def cut(wh: Warehouse, df: DataFrame, name: str, seq: int) -> DataFrame:
     """Write an intermediate that many steps read, and continue from the written table."""
     path = f"{wh.path('_work')}/{name}/run_seq={seq}"
     df.write.mode("overwrite").parquet(path)
@@ -119,20 +119,20 @@ def _sessions(wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts,
     if span["lo"] is None:
         return
     gap = timedelta(minutes=minutes)
-    lo, hi = (F.lit(t).cast("timestamp_ntz") for t in (span["lo"] - gap, span["hi"] + gap))
+    lo, hi = (ntz(t) for t in (span["lo"] - gap, span["hi"] + gap))
     near = wh.table("silver_user_sessions").filter(
         (F.col("session_date") <= F.to_date(hi))
         & (F.col("session_end_ts") >= lo)
         & (F.col("session_start_ts") <= hi)
     )
-    affected = _cut(wh, sessions.affected_sessions(near, fresh, minutes), "affected", seq)
-    pool = _cut(wh, sessions.events_window(fresh, _events_of(affected, stored, fresh, minutes)), "pool", seq)
+    affected = cut(wh, sessions.affected_sessions(near, fresh, minutes), "affected", seq)
+    pool = cut(wh, sessions.events_window(fresh, _events_of(affected, stored, fresh, minutes)), "pool", seq)
 
-    rollup = _cut(wh, sessions.session_rollup(pool, minutes), "rollup", seq)
+    rollup = cut(wh, sessions.session_rollup(pool, minutes), "rollup", seq)
     impressions = sessions.distinct_impressions(sessions.list_impressions(pool, minutes))
     attributed = attribution.list_attribution(attribution.last_touch(pool, minutes), minutes)
     touch = attribution.rollup_campaign_touch(rollup).withColumn(
-        "updated_at", F.lit(run_ts).cast("timestamp_ntz")
+        "updated_at", ntz(run_ts)
     )
     results = dict(
         zip(
@@ -154,9 +154,7 @@ def _sessions(wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts,
     for name in reversed(SESSION_TABLES):
         current = wh.table(name).filter(F.col("session_date").isin(dates))
         kept = current.join(stale, sessions.SESSION, "left_anti").select(*current.columns)
-        fresh_rows = scd.conform(results[name], current.schema)
-        emptied = kept.unionByName(fresh_rows)
-        wh.replace_dates(name, emptied)
+        wh.replace_dates(name, kept.unionByName(scd.conform(results[name], current.schema)), dates)
 
 
 def _events_of(affected: DataFrame, stored: DataFrame, fresh: DataFrame, minutes: int) -> DataFrame:

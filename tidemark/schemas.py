@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "array<string>": T.ArrayType(T.StringType()),
+    **{f"decimal({p},{s})": T.DecimalType(p, s) for p, s in ((10, 2), (12, 2), (12, 6), (18, 2))},
+}
+
+
 def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """``name type, ...`` without a session (``StructType.fromDDL`` needs one)."""
+    pairs = (column.split() for column in re.split(r",(?!\d)", text))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 STG_EVENTS = _ddl(

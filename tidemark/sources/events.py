@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
+from tidemark.functions.columns import pin
 
 EVENT_FIELDS = (
     "event_timestamp", "user_id", "event_name", "platform", "replay_timestamp", "items",
@@ -16,11 +17,9 @@ _JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "allowSingle
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Lines (``value``) with the parsed event; ``event`` is NULL for a line that is no JSON object."""
-    parsed = F.from_json("value", _PARSED, _JSON)
     ok = F.col("value").rlike(r"^\s*\{") & F.col("parsed").isNotNull() & F.col("parsed._bad").isNull()
-    return lines.withColumn("parsed", parsed).withColumn(
-        "event", F.when(ok, F.col("parsed").dropFields("_bad"))
-    ).drop("parsed")
+    parsed = pin(lines, "parsed", F.from_json("value", _PARSED, _JSON))
+    return parsed.withColumn("event", F.when(ok, F.col("parsed").dropFields("_bad"))).drop("parsed")
 
 
 def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

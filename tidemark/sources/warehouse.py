@@ -12,8 +12,9 @@ that is repeated under the same N and overwrites what it left behind.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators.scd import conform
@@ -93,11 +94,11 @@ class Warehouse:
         raise ValueError(f"unknown table: {name}")
 
     def _dated(self, name, schema, *partitions) -> DataFrame:
+        types = {"run_seq": T.IntegerType()}
         extra = [p for p in partitions if p not in schema.names]
-        types = {"run_seq": "int"}
-        full = schema
-        for p in extra:
-            full = full.__class__(full.fields).add(p, types.get(p, "date"))
+        full = T.StructType(
+            schema.fields + [T.StructField(p, types.get(p, T.DateType())) for p in extra]
+        )
         if not self.exists(self.path(name)):
             return self.empty(full)
         return self.spark.read.schema(full).parquet(self.path(name)).select(*full.names)
@@ -123,8 +124,18 @@ class Warehouse:
             ["date_id", "run_seq"],
         )
 
-    def replace_dates(self, name: str, df: DataFrame) -> None:
-        replace_partitions(conform(df, PARTITIONED[name]), self.path(name), ["session_date"])
+    def replace_dates(self, name: str, df: DataFrame, dates: list) -> None:
+        """Make ``df`` the whole content of ``dates``; a date left without rows loses its folder."""
+        if not dates:
+            return
+        left = Observation(f"{name}_rows")
+        counts = [F.count_if(F.col("session_date") == F.lit(d)).alias(str(d)) for d in dates]
+        rows = conform(df, PARTITIONED[name]).observe(left, *counts)
+        replace_partitions(rows, self.path(name), ["session_date"])
+        for d in dates:
+            if not left.get[str(d)]:
+                fs, p = self._hadoop(f"{self.path(name)}/session_date={d}")
+                fs.delete(p, True)
 
 
 def roll_up(name: str, rows: DataFrame) -> DataFrame:
@@ -154,11 +165,11 @@ def roll_up(name: str, rows: DataFrame) -> DataFrame:
 def replace_partitions(df: DataFrame, path: str, partitions: list) -> None:
     """Overwrite exactly the partitions present in ``df``; repeating the write changes nothing.
 
-    Rows of one partition are spread over a few writers by hash of the row, so a day that holds most of
-    the rows is not written by one task.
+    The rebalance hint lets AQE size the output files and split a day that holds most of the rows.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *partitions)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)

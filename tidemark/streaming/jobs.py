@@ -7,10 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import utc_now
 from tidemark.operators import ingest
 from tidemark.operators.sessions import ACTOR
 from tidemark.options import Options
-from tidemark.plans.silver import run_silver
+from tidemark.plans.silver import cut, run_silver
 from tidemark.sources.events import append_staging, parse_lines, split_parsed, write_dead_letters
 from tidemark.sources.warehouse import Warehouse
 
@@ -73,12 +74,14 @@ def ingest_batch(
     wh: Warehouse, lines: DataFrame, options: Options = Options(), run_ts: datetime | None = None
 ) -> dict:
     """Lines of one micro-batch to staging, dead letters and silver."""
-    run_ts = run_ts or datetime.now()
+    run_ts = run_ts or utc_now()
     parsed, seen = ingest.observe_parse(parse_lines(lines))
-    events, dead = split_parsed(parsed)
-    good, bad = ingest.validate(ingest.flatten_events(events, run_ts, options), options.required_fields)
+    events, _ = split_parsed(parsed)
+    _, dead = split_parsed(parse_lines(lines))
+    flat = cut(wh, ingest.flatten_events(events, run_ts, options), "flat", wh.committed() + 1)
+    good, bad = ingest.validate(flat, options.required_fields)
     append_staging(good, wh.path("stg_events"))
-    write_dead_letters(split_parsed(parse_lines(lines))[1].unionByName(bad), wh.path("dead_letters"))
+    write_dead_letters(dead.unionByName(bad), wh.path("dead_letters"))
     return {**seen.get, **run_silver(wh, options, batch=good, run_ts=run_ts)}
 
 
