@@ -6,9 +6,12 @@ sequence number; the checkpoint comes last. A run that dies anywhere is simply r
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ntz, time_bucket, utc_now
@@ -48,20 +51,19 @@ def run_silver(
         bounds = _later(Bounds(last_ts=last and last["hwm_ts"], last_id=last and last["hwm_event_id"]), upper)
 
     stored = wh.table("fct_events", done)
+    counted = Observation("batch")
+    batch = batch.observe(counted, F.count(F.lit(1)).alias("rows"))
     new = cut(wh, incremental.net_new(incremental.dedup_latest(batch), stored), "net_new", seq)
     new_rows = new.count()
-    batch_rows = batch.count()
+    batch_rows = counted.get["rows"]
     if new_rows:
-        _dimensions(wh, new, done, seq)
-        wh.write_delta("fct_product_daily_performance", facts.product_daily(new), seq)
-        wh.write_delta(
-            "fct_product_campaigns",
-            facts.product_campaigns(new, wh.table("dim_campaigns", seq), wh.table("dim_products", seq)),
-            seq,
-        )
         platforms = lookups.dim_platforms(wh.spark, options.platforms)
         fresh = facts.fct_events(new, platforms, run_ts)
-        _sessions(wh, fresh, stored, options, run_ts, seq)
+        together(
+            lambda: _dimensions(wh, new, done, seq),
+            lambda: wh.write_delta("fct_product_daily_performance", facts.product_daily(new), seq),
+            lambda: _sessions(wh, fresh, stored, options, run_ts, seq),
+        )
         wh.append_facts(fresh, seq)
     wh.write_snapshot(
         "etl_checkpoints", incremental.advance(wh.spark, bounds, batch_rows, new_rows, run_ts), seq
@@ -69,6 +71,13 @@ def run_silver(
     return {"run_seq": seq, "current_batch_rows": batch_rows, "net_new_rows": new_rows}
 
 
+def together(*steps) -> None:
+    """Run independent steps as concurrent Spark jobs; the first failure is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
+            done.result()
+
+
 def _since(stg: DataFrame, bounds: Bounds) -> DataFrame:
     """Only ingestion days from the last mark on are listed and read."""
     if bounds.last_ts is None:
@@ -93,21 +102,34 @@ def cut(wh: Warehouse, df: DataFrame, name: str, seq: int) -> DataFrame:
 
 
 def _dimensions(wh: Warehouse, new: DataFrame, done: int, seq: int) -> None:
-    users = wh.table("dim_users", done)
-    wh.write_snapshot("dim_users", scd.merge_users(users, scd.user_changes(new, users)), seq)
-
-    days = scd.product_day(new)
-    wh.write_delta("product_days", days, seq)
-    touched = new.filter(F.col("product_id").isNotNull()).select("product_id").distinct()
-    history = wh.table("product_days", seq).join(touched, "product_id", "left_semi")
-    products = wh.table("dim_products", done)
-    kept = products.join(touched, "product_id", "left_anti")
-    rebuilt = scd.conform(scd.dim_products(history), products.schema)
-    wh.write_snapshot("dim_products", kept.select(*rebuilt.columns).unionByName(rebuilt), seq)
-
-    wh.write_snapshot("dim_item_lists", scd.merge_item_lists(wh.table("dim_item_lists", done), new), seq)
-    wh.write_snapshot("dim_campaigns", scd.merge_campaigns(wh.table("dim_campaigns", done), new), seq)
-    wh.write_snapshot("dim_experiments", scd.merge_experiments(wh.table("dim_experiments", done), new), seq)
+    def users():
+        dim = wh.table("dim_users", done)
+        wh.write_snapshot("dim_users", scd.merge_users(dim, scd.user_changes(new, dim)), seq)
+
+    def products():
+        wh.write_delta("product_days", scd.product_day(new), seq)
+        touched = new.filter(F.col("product_id").isNotNull()).select("product_id").distinct()
+        history = wh.table("product_days", seq).join(touched, "product_id", "left_semi")
+        dim = wh.table("dim_products", done)
+        kept = dim.join(touched, "product_id", "left_anti")
+        rebuilt = scd.conform(scd.dim_products(history), dim.schema)
+        wh.write_snapshot("dim_products", kept.select(*rebuilt.columns).unionByName(rebuilt), seq)
+
+    def merged(name, merge):
+        return lambda: wh.write_snapshot(name, merge(wh.table(name, done), new), seq)
+
+    together(
+        users,
+        products,
+        merged("dim_item_lists", scd.merge_item_lists),
+        merged("dim_campaigns", scd.merge_campaigns),
+        merged("dim_experiments", scd.merge_experiments),
+    )
+    wh.write_delta(
+        "fct_product_campaigns",
+        facts.product_campaigns(new, wh.table("dim_campaigns", seq), wh.table("dim_products", seq)),
+        seq,
+    )
 
 
 def _sessions(wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts, seq: int) -> None:
@@ -150,12 +172,16 @@ def _sessions(wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts,
     starts = affected.select("session_start_ts").unionByName(rollup.select("session_start_ts"))
     dates = [r[0] for r in starts.select(F.to_date("session_start_ts")).distinct().collect()]
     stale = affected.select(*sessions.SESSION).unionByName(rollup.select(*sessions.SESSION)).distinct()
-    # silver_user_sessions drives what is affected, so it is replaced last.
-    for name in reversed(SESSION_TABLES):
+
+    def replace(name):
         current = wh.table(name).filter(F.col("session_date").isin(dates))
         kept = current.join(stale, sessions.SESSION, "left_anti").select(*current.columns)
         wh.replace_dates(name, kept.unionByName(scd.conform(results[name], current.schema)), dates)
 
+    # silver_user_sessions decides what is affected, so it is replaced last.
+    together(*[partial(replace, name) for name in SESSION_TABLES[1:]])
+    replace(SESSION_TABLES[0])
+
 
 def _events_of(affected: DataFrame, stored: DataFrame, fresh: DataFrame, minutes: int) -> DataFrame:
     """Stored events of the affected sessions, without those the batch brings again."""

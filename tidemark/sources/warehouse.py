@@ -72,7 +72,9 @@ class Warehouse:
         return max(self._runs("etl_checkpoints"), default=0)
 
     def empty(self, schema) -> DataFrame:
-        return self.spark.createDataFrame([], schema)
+        """No rows, in a form the optimizer can see through and drop from joins and unions."""
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        return self.spark.range(1).select(*columns).limit(0)
 
     def table(self, name: str, upto: int | None = None) -> DataFrame:
         """Committed content of a table; filters on the partition date prune its folders."""
