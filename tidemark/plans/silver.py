@@ -11,7 +11,7 @@ from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import ntz, time_bucket, utc_now
@@ -51,15 +51,14 @@ def run_silver(
         bounds = _later(Bounds(last_ts=last and last["hwm_ts"], last_id=last and last["hwm_event_id"]), upper)
 
     stored = wh.table("fct_events", done)
-    counted = Observation("batch")
-    batch = batch.observe(counted, F.count(F.lit(1)).alias("rows"))
     new = cut(wh, incremental.net_new(incremental.dedup_latest(batch), stored), "net_new", seq)
     new_rows = new.count()
-    batch_rows = counted.get["rows"]
+    batch_rows = batch.count()
     if new_rows:
         platforms = lookups.dim_platforms(wh.spark, options.platforms)
         fresh = facts.fct_events(new, platforms, run_ts)
         together(
+        wh.spark,
             lambda: _dimensions(wh, new, done, seq),
             lambda: wh.write_delta("fct_product_daily_performance", facts.product_daily(new), seq),
             lambda: _sessions(wh, fresh, stored, options, run_ts, seq),
@@ -71,11 +70,12 @@ def run_silver(
     return {"run_seq": seq, "current_batch_rows": batch_rows, "net_new_rows": new_rows}
 
 
-def together(*steps) -> None:
+def together(spark, *steps) -> None:
     """Run independent steps as concurrent Spark jobs; the first failure is raised."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
-            done.result()
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        for step in running:
+            step.result()
 
 
 def _since(stg: DataFrame, bounds: Bounds) -> DataFrame:
@@ -119,6 +119,7 @@ def _dimensions(wh: Warehouse, new: DataFrame, done: int, seq: int) -> None:
         return lambda: wh.write_snapshot(name, merge(wh.table(name, done), new), seq)
 
     together(
+        wh.spark,
         users,
         products,
         merged("dim_item_lists", scd.merge_item_lists),
@@ -179,7 +180,7 @@ def _sessions(wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts,
         wh.replace_dates(name, kept.unionByName(scd.conform(results[name], current.schema)), dates)
 
     # silver_user_sessions decides what is affected, so it is replaced last.
-    together(*[partial(replace, name) for name in SESSION_TABLES[1:]])
+    together(wh.spark, *[partial(replace, name) for name in SESSION_TABLES[1:]])
     replace(SESSION_TABLES[0])
 
 

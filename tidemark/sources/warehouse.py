@@ -12,7 +12,7 @@ that is repeated under the same N and overwrites what it left behind.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -130,14 +130,18 @@ class Warehouse:
         """Make ``df`` the whole content of ``dates``; a date left without rows loses its folder."""
         if not dates:
             return
-        left = Observation(f"{name}_rows")
-        counts = [F.count_if(F.col("session_date") == F.lit(d)).alias(str(d)) for d in dates]
-        rows = conform(df, PARTITIONED[name]).observe(left, *counts)
-        replace_partitions(rows, self.path(name), ["session_date"])
-        for d in dates:
-            if not left.get[str(d)]:
-                fs, p = self._hadoop(f"{self.path(name)}/session_date={d}")
-                fs.delete(p, True)
+        folders = {d: f"{self.path(name)}/session_date={d}" for d in dates}
+        before = {d: self._files(p) for d, p in folders.items()}
+        replace_partitions(conform(df, PARTITIONED[name]), self.path(name), ["session_date"])
+        for d, p in folders.items():
+            # The write swaps whole folders, so one that still has an old file got no rows.
+            if before[d] & self._files(p):
+                fs, folder = self._hadoop(p)
+                fs.delete(folder, True)
+
+    def _files(self, path: str) -> set:
+        fs, p = self._hadoop(path)
+        return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
 
 
 def roll_up(name: str, rows: DataFrame) -> DataFrame:
