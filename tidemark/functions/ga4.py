@@ -21,8 +21,12 @@ BACKFILL_NULL_TOKENS = (*NULL_TOKENS, "None")
 TEXT_FIELDS = ("item_id", "item_name", "item_list_id", "item_list_name")
 NUMBER_FIELDS = ("price_in_usd", "price", "quantity", "item_revenue_in_usd", "item_revenue")
 
-_BEFORE_KEY = r"(?<![A-Za-z0-9_])"
-_VALUE_END = r"(?:\s*[,}]|\s*$|\s*(?:" + "|".join(KEY_STARTS) + "))"
+_NEXT_KEY = r"(?s)(?<=.)\s*(?:" + "|".join(KEY_STARTS) + ").*$"
+
+
+def _after(name: str, value: str) -> str:
+    """Pattern for ``name=value`` with nothing of a longer name before it; starts with plain text."""
+    return f"{name}=(?<![A-Za-z0-9_]{name}=){value}"
 
 
 def split_items(items) -> Column:
@@ -32,14 +36,22 @@ def split_items(items) -> Column:
     )
 
 
-def _known(value: Column, null_tokens) -> Column:
+def _known(value: Column, null_tokens=NULL_TOKENS) -> Column:
     text = F.trim(value)
     return F.when(~text.isin(*null_tokens), text)
 
 
+def _raw_text(item, name: str) -> Column:
+    return F.regexp_extract(col(item), _after(name, "([^,}]+)"), 1)
+
+
+def _cut_text(raw, null_tokens=NULL_TOKENS) -> Column:
+    """A raw text value up to the next key it may have run into."""
+    return _known(F.regexp_replace(col(raw), _NEXT_KEY, ""), null_tokens)
+
+
 def text_field(item, name: str, null_tokens=NULL_TOKENS) -> Column:
-    pattern = f"{_BEFORE_KEY}{name}=([^,}}]+?){_VALUE_END}"
-    return _known(F.regexp_extract(col(item), pattern, 1), null_tokens)
+    return _cut_text(_raw_text(item, name), null_tokens)
 
 
 def extract_field(item, name: str) -> Column:
@@ -47,9 +59,9 @@ def extract_field(item, name: str) -> Column:
     return text_field(item, name, BACKFILL_NULL_TOKENS)
 
 
-def number_field(item, name: str) -> Column:
+def _raw_number(item, name: str) -> Column:
     """Digits and dots after ``name=``; a sign is not part of the format."""
-    return _known(F.regexp_extract(col(item), f"{_BEFORE_KEY}{name}=([0-9.]+)", 1), NULL_TOKENS)
+    return F.regexp_extract(col(item), _after(name, "([0-9.]+)"), 1)
 
 
 def param_body(item, key: str) -> Column:
@@ -57,13 +69,11 @@ def param_body(item, key: str) -> Column:
     return F.regexp_extract(col(item), rf"key={key},\s*value=\{{([^}}]*)", 1)
 
 
-def param_value(body) -> Column:
-    """The first of the double, float, int and string values that is set."""
+def _typed_value(body, kind: str) -> Column:
     # A thousands group such as $1,200.50 belongs to the value.
     value = r"(-?\$?\d{1,3}(?:,\d{3})+(?:\.\d+)?|[^,}]+)"
-    return F.coalesce(
-        *[_known(F.regexp_extract(col(body), f"{k}={value}", 1), NULL_TOKENS) for k in VALUE_TYPES]
-    )
+    text = col(body)
+    return F.when(text.contains(f"{kind}="), F.regexp_extract(text, f"{kind}={value}", 1))
 
 
 def plain_number(text) -> Column:
@@ -74,22 +84,30 @@ def plain_number(text) -> Column:
 
 def parse_items(df: DataFrame, item: str, params: dict) -> DataFrame:
     """Adds ``item``, a struct of all fields of the item text as texts."""
+    names = list(params.values())
     df = pin(
         df,
-        "found",
+        "raw",
         F.struct(
-            *[text_field(item, f).alias(f) for f in TEXT_FIELDS],
-            *[number_field(item, f).alias(f) for f in NUMBER_FIELDS],
+            *[_raw_text(item, f).alias(f) for f in TEXT_FIELDS],
+            *[_raw_number(item, f).alias(f) for f in NUMBER_FIELDS],
             *[param_body(item, key).alias(name) for key, name in params.items()],
         ),
     )
-    df = pin(df, "values", F.struct(*[param_value(f"found.{n}").alias(n) for n in params.values()]))
-    fields = [F.col(f"found.{f}").alias(f) for f in (*TEXT_FIELDS, *NUMBER_FIELDS)]
-    for name in params.values():
-        as_text = name in ("discounts", "is_in_stock")
-        value = F.col(f"values.{name}") if as_text else plain_number(f"values.{name}")
-        fields.append(value.alias(name))
-    return pin(df, "item", F.struct(*fields)).drop("found", "values")
+    typed = [_typed_value(f"raw.{n}", k).alias(f"{n}_{k}") for n in names for k in VALUE_TYPES]
+    df = pin(df, "typed", F.struct(*typed))
+    # The first of the double, float, int and string values that is set.
+    values = {n: F.coalesce(*[_known(F.col(f"typed.{n}_{k}")) for k in VALUE_TYPES]) for n in names}
+    as_text = ("discounts", "is_in_stock")
+    return pin(
+        df,
+        "item",
+        F.struct(
+            *[_cut_text(f"raw.{f}").alias(f) for f in TEXT_FIELDS],
+            *[_known(F.col(f"raw.{f}")).alias(f) for f in NUMBER_FIELDS],
+            *[(v if n in as_text else plain_number(v)).alias(n) for n, v in values.items()],
+        ),
+    ).drop("raw", "typed")
 
 
 def split_discounts(codes, pattern: str) -> Column:
