@@ -119,7 +119,7 @@ def _(spark, sf):
     counts = incremental.batch_counts(batch, incremental.net_new(batch, earlier(fct(spark, sf)))).first()
     return incremental.advance(
         spark, bounds, counts["current_batch_rows"], counts["net_new_rows"], datetime.fromisoformat(RUN_TS)
-    )
+    ).drop("max_session_days")
 
 
 @query("B6_batch_counts", f"""

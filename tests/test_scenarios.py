@@ -1,6 +1,7 @@
 """End-to-end scenarios: rows in staging, one silver run per batch, assertions on the silver tables."""
 
 from datetime import timedelta
+from decimal import Decimal
 
 from conftest import BASE, event
 
@@ -137,7 +138,7 @@ def test_gold_reads_committed_silver(shop):
     shop.load(
         [
             event("i1", "view_item_list", 0, "u", list_id="L1", discount_campaigns="C1|C2"),
-            event("v1", "view_item", 1, "u", discount_campaigns="C1", discount_value=10),
+            event("v1", "view_item", 1, "u", discount_campaigns="C1", discount_value=Decimal(10)),
             event("c1", "begin_checkout", 2, "u", product="P2", price=600),
             event("p1", "purchase", 200, "u", product="P9", revenue=7),
         ]

@@ -94,10 +94,16 @@ def batch_counts(batch: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def advance(spark: SparkSession, bounds: Bounds, batch_rows: int, new_rows: int, run_ts) -> DataFrame:
-    """The next checkpoint row; an empty run keeps the old mark."""
+def advance(
+    spark: SparkSession, bounds: Bounds, batch_rows: int, new_rows: int, run_ts, max_session_days: int = 0
+) -> DataFrame:
+    """The next checkpoint row; an empty run keeps the old mark.
+
+    ``max_session_days`` is the most days any stored session spans. It bounds how far back a run has to
+    look for sessions its batch may reach.
+    """
     ts = bounds.last_ts if bounds.empty else bounds.upper_ts
     eid = bounds.last_id if bounds.empty else bounds.upper_id
     return spark.createDataFrame(
-        [(PIPELINE, ts, eid, batch_rows, new_rows, run_ts)], schemas.CHECKPOINTS
+        [(PIPELINE, ts, eid, batch_rows, new_rows, run_ts, max_session_days)], schemas.CHECKPOINTS
     )

@@ -40,42 +40,48 @@ def run_silver(
     run_ts = run_ts or utc_now()
     done = wh.committed()
     seq = done + 1
-    stg = wh.table("stg_events")
+    checkpoint = wh.table("etl_checkpoints", done)
+    mark = checkpoint.first()
+    last = Bounds(mark["hwm_ts"], mark["hwm_event_id"]) if mark else Bounds()
+    reach = mark["max_session_days"] if mark else 0
     if batch is None:
-        checkpoint = wh.table("etl_checkpoints", done)
-        bounds = incremental.fetch_bounds(incremental.hwm_bounds(stg, checkpoint))
-        batch = incremental.current_batch(_since(stg, bounds), bounds)
+        recent = _since(wh.table("stg_events"), last)
+        bounds = incremental.fetch_bounds(incremental.hwm_bounds(recent, checkpoint))
+        batch = incremental.current_batch(recent, bounds)
     else:
-        last = wh.table("etl_checkpoints", done).first()
-        upper = incremental.fetch_bounds(incremental.hwm_bounds(batch))
-        bounds = _later(Bounds(last_ts=last and last["hwm_ts"], last_id=last and last["hwm_event_id"]), upper)
+        bounds = _later(last, incremental.fetch_bounds(incremental.hwm_bounds(batch)))
 
     stored = wh.table("fct_events", done)
-    new = cut(wh, incremental.net_new(incremental.dedup_latest(batch), stored), "net_new", seq)
+    batch_days = days_of(batch.select(F.to_date("event_timestamp").alias("day")))
+    known = stored.filter(F.col("date_id").isin(batch_days))
+    new = cut(wh, incremental.net_new(incremental.dedup_latest(batch), known), "net_new", seq)
     new_rows = new.count()
     batch_rows = batch.count()
     if new_rows:
         platforms = lookups.dim_platforms(wh.spark, options.platforms)
         fresh = facts.fct_events(new, platforms, run_ts)
-        together(
-        wh.spark,
+        _, _, reach = together(
+            wh.spark,
             lambda: _dimensions(wh, new, done, seq),
             lambda: wh.write_delta("fct_product_daily_performance", facts.product_daily(new), seq),
-            lambda: _sessions(wh, fresh, stored, options, run_ts, seq),
+            lambda: _sessions(wh, fresh, stored, options, run_ts, seq, reach),
         )
         wh.append_facts(fresh, seq)
-    wh.write_snapshot(
-        "etl_checkpoints", incremental.advance(wh.spark, bounds, batch_rows, new_rows, run_ts), seq
-    )
+    row = incremental.advance(wh.spark, bounds, batch_rows, new_rows, run_ts, reach)
+    wh.write_snapshot("etl_checkpoints", row, seq)
     return {"run_seq": seq, "current_batch_rows": batch_rows, "net_new_rows": new_rows}
 
 
-def together(spark, *steps) -> None:
+def days_of(df: DataFrame) -> list:
+    """Distinct dates of a one-column frame, at most one per calendar day, to prune partitions with."""
+    return [r[0] for r in df.distinct().collect() if r[0] is not None]
+
+
+def together(spark, *steps) -> list:
     """Run independent steps as concurrent Spark jobs; the first failure is raised."""
     with ThreadPoolExecutor(len(steps)) as pool:
         running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
-        for step in running:
-            step.result()
+        return [step.result() for step in running]
 
 
 def _since(stg: DataFrame, bounds: Bounds) -> DataFrame:
@@ -133,18 +139,23 @@ def _dimensions(wh: Warehouse, new: DataFrame, done: int, seq: int) -> None:
     )
 
 
-def _sessions(wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts, seq: int) -> None:
-    """Recompute the sessions the batch reaches and replace the dates they lie on."""
+def _sessions(
+    wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts, seq: int, reach: int
+) -> int:
+    """Recompute the sessions the batch reaches and replace the dates they lie on.
+
+    ``reach`` is the most days a stored session spans; returns the new value.
+    """
     minutes = options.session_minutes
     span = sessions.sessionizable(fresh).agg(
         F.min("event_timestamp").alias("lo"), F.max("event_timestamp").alias("hi")
     ).first()
     if span["lo"] is None:
-        return
+        return reach
     gap = timedelta(minutes=minutes)
     lo, hi = (ntz(t) for t in (span["lo"] - gap, span["hi"] + gap))
     near = wh.table("silver_user_sessions").filter(
-        (F.col("session_date") <= F.to_date(hi))
+        F.col("session_date").between(F.date_sub(F.to_date(lo), reach), F.to_date(hi))
         & (F.col("session_end_ts") >= lo)
         & (F.col("session_start_ts") <= hi)
     )
@@ -169,9 +180,8 @@ def _sessions(wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts,
             ),
         )
     )
-    # Session dates touched, at most one per calendar day.
     starts = affected.select("session_start_ts").unionByName(rollup.select("session_start_ts"))
-    dates = [r[0] for r in starts.select(F.to_date("session_start_ts")).distinct().collect()]
+    dates = days_of(starts.select(F.to_date("session_start_ts")))
     stale = affected.select(*sessions.SESSION).unionByName(rollup.select(*sessions.SESSION)).distinct()
 
     def replace(name):
@@ -182,6 +192,8 @@ def _sessions(wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts,
     # silver_user_sessions decides what is affected, so it is replaced last.
     together(wh.spark, *[partial(replace, name) for name in SESSION_TABLES[1:]])
     replace(SESSION_TABLES[0])
+    longest = rollup.agg(F.max(F.datediff("session_end_ts", "session_start_ts"))).first()[0]
+    return max(reach, longest)
 
 
 def _events_of(affected: DataFrame, stored: DataFrame, fresh: DataFrame, minutes: int) -> DataFrame:
@@ -197,10 +209,9 @@ def _events_of(affected: DataFrame, stored: DataFrame, fresh: DataFrame, minutes
     days = affected.select(
         F.explode(
             F.sequence(F.to_date("session_start_ts"), F.to_date("session_end_ts"), F.expr("interval 1 day"))
-        ).alias("date_id")
-    ).distinct()
-    # One row per calendar day; prunes the fact partitions read.
-    near = stored.join(F.broadcast(days), "date_id", "left_semi").select(*stored.columns)
+        )
+    )
+    near = stored.filter(F.col("date_id").isin(days_of(days)))
     return (
         sessions.with_cell(near, minutes)
         .join(spans, [*sessions.ACTOR, "cell"])

@@ -111,5 +111,5 @@ PRODUCT_CAMPAIGNS = _ddl(
 )
 CHECKPOINTS = _ddl(
     "pipeline string, hwm_ts timestamp_ntz, hwm_event_id string, last_run_current_batch_rows long,"
-    "last_run_net_new_rows long, updated_at timestamp_ntz"
+    "last_run_net_new_rows long, updated_at timestamp_ntz, max_session_days int"
 )

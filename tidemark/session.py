@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Collecting a Python stack trace per column expression costs more than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Merge session windows inside each map task before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
