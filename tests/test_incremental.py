@@ -98,6 +98,20 @@ def test_crashed_run_is_repeated_without_double_counting(spark, tmp_path, monkey
         assert content(crashed.wh.table(table), *cols) == content(clean.wh.table(table), *cols), table
 
 
+def test_compacted_deltas_read_the_same(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    schema = wh.table("fct_product_daily_performance", 0).schema
+    for seq in (1, 2, 3):
+        wh.write_delta("fct_product_daily_performance", spark.createDataFrame(
+            [(20250101, "P", seq, 0, 1, Decimal(seq)), (20250100 + seq, "Q", 1, 1, 0, Decimal(0))], schema), seq)
+    before = content(wh.table("fct_product_daily_performance", 3))
+    wh.tidy(2, compact_every=2)
+    assert wh._runs("fct_product_daily_performance", "base_seq") == [2]
+    assert content(wh.table("fct_product_daily_performance", 3)) == before
+    # A reader of an earlier state does not see the later runs.
+    assert max(r.views for r in wh.table("fct_product_daily_performance", 1).collect()) == 1
+
+
 def brute_sessions(rows, minutes):
     by_actor = {}
     for r in rows:

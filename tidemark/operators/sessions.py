@@ -178,7 +178,7 @@ def session_rollup(facts: DataFrame, minutes: int = 30, value_col: str = "price"
         F.max(campaign_mark()).alias("touch"),
     )
     checkouts = F.count_if(F.col("checkouts") > 0)
-    products = F.sort_array(F.array_distinct(F.flatten(F.collect_list("cart_products"))))
+    products = F.sort_array(F.array_distinct(F.flatten(F.collect_set("cart_products"))))
     return (
         session_islands(cells, minutes)
         .groupBy(*SESSION)

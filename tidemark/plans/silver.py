@@ -69,6 +69,7 @@ def run_silver(
         wh.append_facts(fresh, seq)
     row = incremental.advance(wh.spark, bounds, batch_rows, new_rows, run_ts, reach)
     wh.write_snapshot("etl_checkpoints", row, seq)
+    wh.tidy(seq)
     return {"run_seq": seq, "current_batch_rows": batch_rows, "net_new_rows": new_rows}
 
 
@@ -102,7 +103,7 @@ def _later(last: Bounds, upper: Bounds) -> Bounds:
 
 def cut(wh: Warehouse, df: DataFrame, name: str, seq: int) -> DataFrame:
     """Write an intermediate that many steps read, and continue from the written table."""
-    path = f"{wh.path('_work')}/{name}/run_seq={seq}"
+    path = f"{wh.path('_work')}/run_seq={seq}/{name}"
     df.write.mode("overwrite").parquet(path)
     return wh.spark.read.schema(df.schema).parquet(path)
 

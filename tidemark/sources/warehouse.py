@@ -3,7 +3,8 @@
 Three kinds of table:
 
 * ``snapshot``: small tables written whole into ``run_seq=N``; readers take the newest committed run.
-* ``delta``: additive rows of each run under ``run_seq=N``; readers roll all committed runs up.
+* ``delta``: additive rows of each run under ``run_seq=N``; readers roll all committed runs up. Every
+  ``COMPACT_EVERY`` runs the roll-up is stored under ``base_seq=N`` and later runs are added to that.
 * ``partitioned``: large tables partitioned by a date; a run replaces only the dates it touches.
 
 A run with sequence N is committed when its ``etl_checkpoints`` snapshot exists. A run that died before
@@ -41,6 +42,10 @@ PARTITIONED = {
 }
 
 
+COMPACT_EVERY = 50
+KEEP_SNAPSHOTS = 5
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -58,14 +63,14 @@ class Warehouse:
         fs, p = self._hadoop(path)
         return fs.exists(p)
 
-    def _runs(self, name: str) -> list:
+    def _runs(self, name: str, label: str = "run_seq") -> list:
         """Finished run folders of a table."""
         fs, p = self._hadoop(self.path(name))
         if not fs.exists(p):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-        seqs = [int(n.split("=")[1]) for n in names if n.startswith("run_seq=")]
-        return sorted(n for n in seqs if self.exists(f"{self.path(name)}/run_seq={n}/_SUCCESS"))
+        seqs = [int(n.split("=")[1]) for n in names if n.startswith(f"{label}=")]
+        return sorted(n for n in seqs if self.exists(f"{self.path(name)}/{label}={n}/_SUCCESS"))
 
     def committed(self) -> int:
         """Sequence of the last committed run, 0 before the first."""
@@ -107,11 +112,29 @@ class Warehouse:
 
     def _rolled_up(self, name: str, upto: int) -> DataFrame:
         schema = DELTAS[name]
-        runs = [n for n in self._runs(name) if n <= upto]
-        if not runs:
+        base = max((n for n in self._runs(name, "base_seq") if n <= upto), default=0)
+        paths = [f"{self.path(name)}/run_seq={n}" for n in self._runs(name) if base < n <= upto]
+        if base:
+            paths.append(f"{self.path(name)}/base_seq={base}")
+        if not paths:
             return self.empty(schema)
-        rows = self.spark.read.schema(schema).parquet(*[f"{self.path(name)}/run_seq={n}" for n in runs])
-        return roll_up(name, rows)
+        return roll_up(name, self.spark.read.schema(schema).parquet(*paths))
+
+    def tidy(self, seq: int, compact_every: int = COMPACT_EVERY) -> None:
+        """After run ``seq`` is committed: drop its work files and old snapshots, compact deltas."""
+        self._delete(f"{self.path('_work')}/run_seq={seq}")
+        for name in SNAPSHOTS:
+            for n in self._runs(name)[:-KEEP_SNAPSHOTS]:
+                self._delete(f"{self.path(name)}/run_seq={n}")
+        for name, schema in DELTAS.items():
+            base = max(self._runs(name, "base_seq"), default=0)
+            if len([n for n in self._runs(name) if base < n <= seq]) >= compact_every:
+                rolled = self._rolled_up(name, seq)
+                conform(rolled, schema).write.mode("overwrite").parquet(f"{self.path(name)}/base_seq={seq}")
+
+    def _delete(self, path: str) -> None:
+        fs, p = self._hadoop(path)
+        fs.delete(p, True)
 
     def write_snapshot(self, name: str, df: DataFrame, seq: int) -> None:
         conform(df, SNAPSHOTS[name]).write.mode("overwrite").parquet(f"{self.path(name)}/run_seq={seq}")
@@ -136,8 +159,7 @@ class Warehouse:
         for d, p in folders.items():
             # The write swaps whole folders, so one that still has an old file got no rows.
             if before[d] & self._files(p):
-                fs, folder = self._hadoop(p)
-                fs.delete(folder, True)
+                self._delete(p)
 
     def _files(self, path: str) -> set:
         fs, p = self._hadoop(path)
