@@ -2,7 +2,9 @@
 
 import json
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
+import pytest
 from conftest import content
 from test_ga4 import ITEM, TS
 
@@ -98,13 +100,18 @@ def test_materialize_replaces_only_its_dates(spark, tmp_path):
     assert {(r.day, r.n) for r in spark.read.parquet(path).collect()} == {("a", 9), ("b", 3)}
 
 
+class Session:
+    """Only what the scratch folder is chosen from."""
+
+    def __init__(self, folder, master="local[2]"):
+        self.conf = {"spark.checkpoint.dir": folder}
+        self.sparkContext = SimpleNamespace(master=master)
+
+
 def test_scratch_folder_comes_from_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/shared/area")
-    try:
-        assert scratch_dir(spark, "x").startswith("/shared/area/x-")
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
-        else:
-            spark.conf.unset("spark.checkpoint.dir")
+    assert scratch_dir(Session("/shared/area/"), "x").startswith("/shared/area/x-")
+    assert scratch_dir(Session(None), "x") != scratch_dir(Session(None), "x")
+    with pytest.raises(ValueError):
+        scratch_dir(Session(None, "yarn"), "x")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    assert folder is None or scratch_dir(spark, "x").startswith(folder)
