@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import bitslice
+from .bitslice import forest
 from .common import LOWER, byte_column, free_name, slices, stored
 from .graph import components
 
@@ -105,7 +105,7 @@ def bucket_links(rows: DataFrame, radius: int, block_rows: int = BLOCK_ROWS) ->
         rest = [np.empty(0, np.int64)] * 3
 
         def links(cols):
-            i, j = bitslice.forest(cols[0], cols[2].view(np.uint64), radius)
+            i, j = forest(cols[0], cols[2].view(np.uint64), radius)
             return pa.RecordBatch.from_arrays([pa.array(cols[1][i]), pa.array(cols[1][j])], ["a", "b"])
 
         for batch in batches:
