@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.session import scratch_dir
 
@@ -54,10 +55,33 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, limit: int = SLICE_
         if not n:
             continue
         col = batch.column(text)
-        off = np.frombuffer(col.buffers()[1], dtype=np.int32 if pa.types.is_binary(col.type) else np.int64)
+        off = np.frombuffer(col.buffers()[1], dtype=np.int32 if pa.types.is_binary(col.type) or pa.types.is_string(col.type) else np.int64)
         off = off[col.offset : col.offset + n + 1].astype(np.int64)
         start = 0
         while start < n:
             end = max(start + 1, int(np.searchsorted(off, off[start] + limit, side="right")) - 1)
             yield batch.slice(start, min(end, n) - start)
             start = min(end, n)
+
+
+def from_texts(docs: DataFrame, text_col: str, ddl: str, make: Callable[[], Callable], keep_text: bool = True) -> DataFrame:
+    """``docs`` with the columns of ``ddl`` computed from its text by Arrow batches.
+
+    ``make()`` runs once a task and returns a function from a list of UTF-8 texts (b'' for NULL) to one Arrow array
+    per new column; it gets a few MB of text at a time. Other columns pass through as they are, whatever their names;
+    a column that has the name of a new one is replaced.
+    """
+    new = StructType.fromDDL(ddl)
+    gone = {n.lower() for n in new.names} | (set() if keep_text else {text_col.lower()})
+    row, text = free_name(docs, "row"), free_name(docs, "bytes")
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in gone]
+    inner = docs.select(F.struct(*kept).alias(row), F.col(text_col).cast("binary").alias(text))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compute = make()
+        for part in slices(batches):
+            values = compute(byte_column(part.column(1)))
+            yield pa.RecordBatch.from_arrays([part.column(0), *values], [row, *new.names])
+
+    out = inner.mapInArrow(run, StructType([inner.schema[row], *new.fields]))
+    return out.select(f"{row}.*", *[F.col(n) for n in new.names])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, simhash
+from . import decontaminate, secret_scan, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -60,3 +60,23 @@ SELECT d.doc_id, coalesce(len(w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit, co
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("long")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(listed(F.filter("secrets", lambda x: x["kind"] != "random")), 256).alias("base_sha256"),
+        listed("secrets").alias("spans"),
+    )

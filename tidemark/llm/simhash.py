@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitslice import forest
-from .common import LOWER, byte_column, free_name, slices, stored
+from .common import LOWER, from_texts, stored
 from .graph import components
 
 #: Rows of a bucket that one comparison holds. Larger buckets are compared block by block, each pair of blocks a task.
@@ -56,18 +56,15 @@ def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 4, seed:
 
     NULL, empty and blank texts have fingerprint zero. Other columns pass through, whatever their names.
     """
-    text = free_name(docs, "bytes")
-    kept = [c for c in docs.columns if c.lower() != text_col.lower()]
-    inner = docs.select(F.struct(*kept).alias("row"), F.col(text_col).cast("binary").alias(text))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            bits = [majority(shingle_hashes(t, words, seed)) for t in byte_column(part.column(1))]
-            found = pa.array(np.array(bits, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([part.column(0), found], ["row", name])
+    def make():
+        def compute(texts: list[bytes]) -> list[pa.Array]:
+            bits = [majority(shingle_hashes(t, words, seed)) for t in texts]
+            return [pa.array(np.array(bits, dtype=np.uint64).view(np.int64))]
+
+        return compute
 
-    schema = inner.select("row").schema.add(name, "long")
-    return inner.mapInArrow(run, schema).select("row.*", name)
+    return from_texts(docs, text_col, f"{name} long", make, keep_text=False)
 
 
 def pigeonhole(bits: Column, radius: int) -> Column:
