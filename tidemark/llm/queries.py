@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, secret_scan, simhash
+from . import decontaminate, packing, secret_scan, simhash
 from .common import table
 
 QUERIES: dict = {}
@@ -80,3 +80,8 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(F.filter("secrets", lambda x: x["kind"] != "random")), 256).alias("base_sha256"),
         listed("secrets").alias("spans"),
     )
+
+
+@query
+def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
