@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secret_scan, simhash
-from .common import table
+from . import decontaminate, packing, secret_scan, simhash, toxicity
+from .common import fold, table
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -85,3 +85,21 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """(label, text) of the labelled documents that may be learnt from."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return docs.where(fold("doc_id", 5) != 0).join(labels.select("doc_id", label), "doc_id").select(label, "text")
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(labelled(spark, sf_dir, "toxic"), "toxic")
+    scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
