@@ -85,3 +85,11 @@ def from_texts(docs: DataFrame, text_col: str, ddl: str, make: Callable[[], Call
 
     out = inner.mapInArrow(run, StructType([inner.schema[row], *new.fields]))
     return out.select(f"{row}.*", *[F.col(n) for n in new.names])
+
+
+def bounded_sample(df: DataFrame, key: str, rows: int, limit: int) -> DataFrame:
+    """At most ``limit`` of the ``rows`` rows of ``df``, those of least hash of ``key``; hardly more are sent to one task."""
+    hashed, top = free_name(df, "hash"), 1 << 53
+    share = min(1.0, (1.1 * limit + 1000) / max(rows, 1))
+    taken = df.withColumn(hashed, F.pmod(F.xxhash64(key), F.lit(top))).where(F.col(hashed) <= int(share * top))
+    return taken.orderBy(hashed).limit(limit).drop(hashed)

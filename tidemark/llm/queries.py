@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, secret_scan, simhash, toxicity
+from . import decontaminate, packing, quality, secret_scan, simhash, toxicity
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -88,9 +88,9 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    """(label, text) of the labelled documents that may be learnt from."""
+    """(doc_id, label, text) of the labelled documents that may be learnt from."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return docs.where(fold("doc_id", 5) != 0).join(labels.select("doc_id", label), "doc_id").select(label, "text")
+    return docs.where(fold("doc_id", 5) != 0).join(labels.select("doc_id", label), "doc_id").select("doc_id", label, "text")
 
 
 @query
@@ -103,3 +103,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality.fit(labelled(spark, sf_dir, "quality"), "quality")
+    scored = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.KEEP_AT).cast("int").alias("predicted"),
+    )
