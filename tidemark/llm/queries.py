@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, secret_scan, simhash, toxicity
+from . import decontaminate, langid, packing, quality, secret_scan, simhash, toxicity
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -115,3 +115,12 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.KEEP_AT).cast("int").alias("predicted"),
     )
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(fold("doc_id", 3) != 1))
+    return langid.score(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
