@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, quality, secret_scan, simhash, toxicity
+from . import decontaminate, langid, packing, quality, reputation, secret_scan, simhash, toxicity
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -124,3 +124,59 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.score(docs.select("doc_id", "text"), model).select(
         "doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+@query
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A labelled page is bad if the document of its number is of low quality or toxic."""
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    judged = reputation.judge(table(spark, sf_dir, "pages"), labels, rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _shrunk(children: str, parents: str, key: str, parent: str) -> str:
+    return f"""
+    SELECT {key}, {parent}, n, bad, (k * prior + bad) / (k + n) AS mean, k + n AS strength FROM (
+        SELECT c.*, p.mean AS prior,
+               1 / greatest({reputation.LEAST_RHO}, least({reputation.MOST_RHO}, coalesce(
+                   sum(CASE WHEN c.n > 0 THEN (c.bad - c.n * p.mean) ** 2 / c.n - p.mean * (1 - p.mean) END) OVER ()
+                   / nullif(sum(CASE WHEN c.n > 0 THEN p.mean * (1 - p.mean) * (c.n - 1) END) OVER (), 0),
+                   {reputation.MOST_RHO}))) - 1 AS k
+        FROM {children} c JOIN {parents} p USING ({parent}))"""
+
+
+SQL["op6_url_filter"] = rf"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+seen AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{reputation.UPPER}', '{reputation.LOWER}') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+rules (rule_host, rule_path, rule_verdict) AS (VALUES {', '.join(map(str, RULES))}),
+fits AS (
+    SELECT DISTINCT ON (host, path) host, path, rule_host || rule_path AS rule, rule_verdict
+    FROM (SELECT DISTINCT host, path FROM seen), rules
+    WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    ORDER BY host, path, length(rule_host || rule_path) DESC),
+outcomes AS (
+    SELECT host, CASE WHEN l.doc_id IS NULL THEN NULL WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END AS bad
+    FROM seen LEFT JOIN labels l ON l.doc_id = page_id),
+hosts AS (
+    SELECT host, array_to_string(parts[-2:], '.') AS domain, n, bad FROM (
+        SELECT host, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS parts, count(bad) AS n,
+               coalesce(sum(bad), 0) AS bad FROM outcomes GROUP BY 1)),
+domains AS (SELECT domain, string_split(domain, '.')[-1] AS suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1),
+suffixes AS (SELECT suffix, 0 AS whole, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY 1),
+everything AS (SELECT whole, (sum(bad) + 1) / (sum(n) + 2) AS mean FROM suffixes GROUP BY 1),
+suffix_scores AS ({_shrunk('suffixes', 'everything', 'suffix', 'whole')}),
+domain_scores AS ({_shrunk('domains', 'suffix_scores', 'domain', 'suffix')}),
+host_scores AS ({_shrunk('hosts', 'domain_scores', 'host', 'domain')})
+SELECT s.page_id, s.host, s.path, f.rule,
+       coalesce(f.rule_verdict, CASE WHEN h.mean - {reputation.Z} * sqrt(h.mean * (1 - h.mean) / (h.strength + 1))
+                                          > {reputation.BAD_RATE} THEN 'block' ELSE 'allow' END) AS verdict
+FROM seen s JOIN host_scores h USING (host) LEFT JOIN fits f ON f.host = s.host AND f.path = s.path
+"""
