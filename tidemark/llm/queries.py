@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, quality, reputation, secret_scan, simhash, toxicity
+from . import ann, decontaminate, langid, packing, quality, reputation, secret_scan, simhash, toxicity
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -180,3 +180,10 @@ SELECT s.page_id, s.host, s.path, f.rule,
                                           > {reputation.BAD_RATE} THEN 'block' ELSE 'allow' END) AS verdict
 FROM seen s JOIN host_scores h USING (host) LEFT JOIN fits f ON f.host = s.host AND f.path = s.path
 """
+
+
+@query
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = ann.build_index(rows, "vec_id", "embedding", copies=6)
+    return ann.nearest(index, rows.where(F.col("vec_id") % 50 == 0), "vec_id", "embedding", k=5)
