@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, langid, packing, quality, reputation, secret_scan, simhash, toxicity
+from . import ann, decontaminate, langid, packing, pfparse, quality, reputation, secret_scan, simhash, toxicity
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -187,3 +187,16 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     index = ann.build_index(rows, "vec_id", "embedding", copies=6)
     return ann.nearest(index, rows.where(F.col("vec_id") % 50 == 0), "vec_id", "embedding", k=5)
+
+
+@query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = pfparse.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return kept.select(
+        "doc_id",
+        F.col("bytes").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
