@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -87,9 +88,25 @@ def from_texts(docs: DataFrame, text_col: str, ddl: str, make: Callable[[], Call
     return out.select(f"{row}.*", *[F.col(n) for n in new.names])
 
 
-def bounded_sample(df: DataFrame, key: str, rows: int, limit: int) -> DataFrame:
-    """At most ``limit`` of the ``rows`` rows of ``df``, those of least hash of ``key``; hardly more are sent to one task."""
-    hashed, top = free_name(df, "hash"), 1 << 53
-    share = min(1.0, (1.1 * limit + 1000) / max(rows, 1))
-    taken = df.withColumn(hashed, F.pmod(F.xxhash64(key), F.lit(top))).where(F.col(hashed) <= int(share * top))
-    return taken.orderBy(hashed).limit(limit).drop(hashed)
+def labelled_sample(docs: DataFrame, labels: DataFrame, key_col: str, label_col: str, text_col: str,
+                    limit: int) -> tuple[DataFrame, dict[int, int]]:
+    """Stored (label, text) rows, at most ``limit`` of each class, and how many there are of each in all.
+
+    Classes are 0 and 1; other labels, NULL keys and labels without a document teach nothing. The rows of least hash of
+    the key are taken. Only keys are shuffled to choose them: the chosen keys, at most twice ``limit``, are broadcast
+    to the documents, so texts stay where they are.
+    """
+    known = docs.select(F.col(key_col).alias("key")).join(
+        labels.where(F.col(label_col).isin(0, 1)).select(F.col(key_col).alias("key"), F.col(label_col).cast("int").alias("label")), "key"
+    )
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    top, parts = 1 << 53, []
+    for label, n in sorted(sizes.items()):
+        share = min(1.0, (1.1 * limit + 1000) / n)
+        hashed = known.where(F.col("label") == label).withColumn("hash", F.pmod(F.xxhash64("key"), F.lit(top)))
+        parts.append(hashed.where(F.col("hash") <= int(share * top)).orderBy("hash").limit(limit).select("key", "label"))
+    if not parts:
+        parts = [known]
+    chosen = F.broadcast(reduce(DataFrame.unionAll, parts).distinct())
+    text = docs.select(F.col(key_col).alias("key"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
+    return stored(text.join(chosen, "key").select("label", "text"), "labelled"), sizes

@@ -87,6 +87,11 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def lessons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels that may be learnt from."""
+    return table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+
+
 def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     """(doc_id, label, text) of the labelled documents that may be learnt from."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -107,8 +112,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = quality.fit(labelled(spark, sf_dir, "quality"), "quality")
-    scored = quality.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, lessons(spark, sf_dir), "quality"))
     return scored.select(
         "doc_id",
         F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
