@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: A host is blocked if its bad rate is above BAD_RATE with the confidence of a normal bound of Z deviations.
 BAD_RATE, Z = 0.3, 1.645
 
@@ -39,42 +41,41 @@ def _last_labels(host: Column, n: int) -> Column:
     return F.substring_index(F.regexp_replace(host, ":[0-9]*$", ""), ".", -n)
 
 
-def shrunk(children: DataFrame, parents: DataFrame, key: str, parent: str) -> DataFrame:
-    """``children`` (key, parent, n, bad) with ``mean`` and ``strength``: the posterior mean, and prior strength plus n.
+def shrunk(children: DataFrame, key: str) -> DataFrame:
+    """(key, mean, strength) of ``children`` (key, n, bad, prior): the posterior mean, and prior strength plus n.
 
-    ``parents`` has (parent, mean). The moments of all children give one prior strength for the level.
+    The moments of all children give one prior strength for the level.
     """
-    joined = children.join(parents.select(parent, F.col("mean").alias("prior")), parent)
     variance = F.col("prior") * (1 - F.col("prior"))
     # A child without outcomes says nothing.
     excess = F.when(F.col("n") > 0, F.pow(F.col("bad") - F.col("n") * F.col("prior"), F.lit(2)) / F.col("n") - variance)
     weight = F.when(F.col("n") > 0, variance * (F.col("n") - 1))
-    moments = joined.agg(F.sum(excess).alias("e"), F.sum(weight).alias("w"))
-    rho = F.greatest(F.lit(LEAST_RHO), F.least(F.lit(MOST_RHO), F.coalesce(F.expr("try_divide(e, w)"), F.lit(MOST_RHO))))
-    strength = joined.withColumn("k", moments.select(1 / rho - 1).scalar())
-    return strength.select(
-        key, parent, "n", "bad",
-        ((F.col("k") * F.col("prior") + F.col("bad")) / (F.col("k") + F.col("n"))).alias("mean"),
-        (F.col("k") + F.col("n")).alias("strength"),
-    )
+    e, w = children.agg(F.sum(excess), F.sum(weight)).first()
+    rho = max(LEAST_RHO, min(MOST_RHO, e / w if w else MOST_RHO))
+    k = 1 / rho - 1
+    mean = (F.lit(k) * F.col("prior") + F.col("bad")) / (F.lit(k) + F.col("n"))
+    return children.select(key, mean.alias("mean"), (F.lit(k) + F.col("n")).alias("strength"))
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
-    """Per host: n, bad, posterior mean and ``bound``, its lower bound, of (host, bad) rows; bad is 0, 1 or NULL (no label).
+def reputations(counts: DataFrame) -> DataFrame:
+    """Per host posterior mean and ``bound``, its lower bound, of (host, n, bad) rows: outcomes and bad ones among them.
 
-    Without any label all hosts have mean one half.
+    Without any outcome all hosts have mean one half.
     """
-    hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    hosts = hosts.select("host", _last_labels(F.col("host"), 2).alias("domain"), _last_labels(F.col("host"), 1).alias("suffix"), "n", "bad")
+    hosts = stored(counts.select(
+        "host", _last_labels(F.col("host"), 2).alias("domain"), _last_labels(F.col("host"), 1).alias("suffix"), "n", "bad"
+    ), "hosts")
     counted = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
-    domains = hosts.groupBy("domain", "suffix").agg(*counted)
-    suffixes = domains.groupBy("suffix").agg(*counted).withColumn("all", F.lit(0))
-    everything = suffixes.groupBy("all").agg(*counted).select("all", ((F.col("bad") + 1) / (F.col("n") + 2)).alias("mean"))
-    suffixes = shrunk(suffixes, everything, "suffix", "all")
-    domains = shrunk(domains, suffixes, "domain", "suffix")
-    done = shrunk(hosts.drop("suffix"), domains, "host", "domain")
+    domains = stored(hosts.groupBy("domain", "suffix").agg(*counted), "domains")
+    suffixes = domains.groupBy("suffix").agg(*counted)
+    n, bad = suffixes.agg(F.sum("n"), F.sum("bad")).first()
+    prior = F.col("mean").alias("prior")
+    suffixes = stored(shrunk(suffixes.withColumn("prior", F.lit(((bad or 0) + 1) / ((n or 0) + 2))), "suffix"), "suffixes")
+    domains = domains.join(suffixes.select("suffix", prior), "suffix")
+    domains = stored(shrunk(domains, "domain"), "domain-scores")
+    done = shrunk(hosts.join(domains.select("domain", prior), "domain"), "host")
     spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("strength") + 1))
-    return done.select("host", "n", "bad", "mean", (F.col("mean") - Z * spread).alias("bound"))
+    return done.select("host", "mean", (F.col("mean") - Z * spread).alias("bound"))
 
 
 def rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
@@ -103,13 +104,10 @@ def judge(pages: DataFrame, labels: DataFrame, rules: DataFrame, page_col: str =
     url = F.col(url_col)
     seen = pages.select(F.col(page_col).alias("page"), host_of(url).alias("host"), path_of(url).alias("path"))
     given = labels.where("bad IN (0, 1)").groupBy(F.col(label_col).alias("page")).agg(F.count("*").alias("of"), F.sum("bad").alias("bad"))
-    # Outcomes are counted by host, each label of a page once.
-    known = seen.join(given, "page", "left")
-    flat = known.select("host", F.explode_outer(F.when(F.col("of").isNotNull(), F.concat(
-        F.array_repeat(F.lit(1), F.col("bad").cast("int")), F.array_repeat(F.lit(0), (F.col("of") - F.col("bad")).cast("int")))
-    )).alias("bad"))
-    scores = reputations(flat)
-    hosts = scores.join(rules_by_host(scores.select("host"), rules), "host", "left").select("host", "bound", "n", "rules")
+    # One host may have a third of the pages: they are counted before the shuffle.
+    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in (("of", "n"), ("bad", "bad"))]
+    scores = stored(reputations(seen.join(given, "page", "left").groupBy("host").agg(*totals)), "scores")
+    hosts = scores.join(rules_by_host(scores.select("host"), rules), "host", "left").select("host", "bound", "rules")
     fitting = F.filter("rules", lambda r: F.startswith(F.col("path"), r["path"]))
     judged = seen.join(hosts, "host").withColumn("fit", F.try_element_at(fitting, F.lit(1)))
     method = F.when(F.col("bound") > bad_rate, "block").otherwise("allow")
