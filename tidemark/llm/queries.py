@@ -92,16 +92,10 @@ def lessons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
 
 
-def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
-    """(doc_id, label, text) of the labelled documents that may be learnt from."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    return docs.where(fold("doc_id", 5) != 0).join(labels.select("doc_id", label), "doc_id").select("doc_id", label, "text")
-
-
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(labelled(spark, sf_dir, "toxic"), "toxic")
-    scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, lessons(spark, sf_dir), "toxic"))
     return scored.select(
         "doc_id",
         F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),

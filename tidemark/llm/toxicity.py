@@ -1,8 +1,8 @@
 """Toxicity by a character n-gram linear classifier on naive Bayes features.
 
 A document is the set of its byte n-grams, hashed. The log-count ratio r of each n-gram, how much likelier toxic
-documents hold it than others, is counted over every labelled training document, in Spark. The classifier is a logistic
-regression on features scaled by r; n-grams whose ratio is within chance carry none. It is fitted on a bounded sample.
+documents hold it than others, is counted in Spark over a bounded sample of labelled documents. The classifier is a
+logistic regression on features scaled by r; n-grams whose ratio is within chance carry none.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, byte_column, from_texts, slices
+from .common import LOWER, byte_column, from_texts, labelled_sample, slices
 from .linear import Csr, distinct, minimize, ngram_ids, sigmoid
 
 ORDERS = (3, 4, 5, 6)
 BITS = 20
 
-#: Documents of each class that the weights are fitted on, at most; the counts use all.
-SAMPLE = 6000
+#: Labelled documents of each class that the ratios and weights are learnt from, at most.
+SAMPLE = 12_000
 
 #: N-grams kept: those whose log-count ratio is furthest beyond chance, at most so many.
 FEATURES = 20_000
@@ -63,9 +63,9 @@ def gram_counts(labelled: DataFrame, orders: tuple[int, ...], bits: int) -> Data
     )
 
 
-def _sample(labelled: DataFrame, kept: np.ndarray, orders: tuple[int, ...], bits: int, limit: int) -> list[tuple[int, np.ndarray]]:
-    """(label, places in ``kept`` of the n-grams held) of up to ``limit`` documents of each class, by a hash of the text."""
-    sent = labelled.sparkSession.sparkContext.broadcast(kept)
+def _held(rows: DataFrame, kept: np.ndarray, orders: tuple[int, ...], bits: int) -> list[tuple[int, np.ndarray]]:
+    """(label, places in ``kept`` of the n-grams held) of the sampled rows."""
+    sent = rows.sparkSession.sparkContext.broadcast(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(1 << bits, -1, dtype=np.int32)
@@ -76,30 +76,25 @@ def _sample(labelled: DataFrame, kept: np.ndarray, orders: tuple[int, ...], bits
             rows = [np.sort(x[x >= 0]) for x in found]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.int32()))], ["label", "grams"])
 
-    parts = []
-    for label in (0, 1):
-        of = labelled.where(F.col("label") == label)
-        chosen = of.select("label", "text", F.xxhash64("text").alias("h")).orderBy("h").limit(limit).select("label", "text")
-        parts.append(chosen.mapInArrow(run, "label int, grams array<int>").toArrow())
-    return [(k, np.asarray(g, dtype=np.int64)) for t in parts for k, g in zip(t["label"].to_pylist(), t["grams"].to_pylist(), strict=True)]
+    got = rows.mapInArrow(run, "label int, grams array<int>").toArrow()
+    return [(k, np.asarray(g, dtype=np.int64)) for k, g in zip(got["label"].to_pylist(), got["grams"].to_pylist(), strict=True)]
 
 
-def fit(labelled: DataFrame, label_col: str, text_col: str = "text", orders: tuple[int, ...] = ORDERS, bits: int = BITS,
-        features: int = FEATURES, sample: int = SAMPLE, rounds: int = 100) -> Model:
-    """A model of rows whose label is 0 or 1; others, and rows with a NULL label or text, teach nothing.
+def fit(docs: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
+        orders: tuple[int, ...] = ORDERS, bits: int = BITS, features: int = FEATURES, rounds: int = 100) -> Model:
+    """A model of the documents that ``labels`` (key, label) marks 0 or 1, at most ``sample`` of each.
 
-    Without rows of both classes the model scores all texts with the share of class 1 (one half without rows).
+    A NULL text holds nothing. The key only decides which rows are sampled; the shares of the classes are those of all
+    labels. Without rows of both classes the model scores all texts with the share of class 1 (one half without rows).
     """
-    rows = labelled.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull()).select(
-        F.col(label_col).cast("int").alias("label"), F.col(text_col).cast("binary").alias("text")
-    )
+    rows, n = labelled_sample(docs, labels, key_col, label_col, text_col, sample)
     # At most 2 ** bits rows and one.
     table = gram_counts(rows, orders, bits).toArrow()
     ids, pos, neg = (table[c].to_numpy() for c in ("id", "pos", "neg"))
     n_pos, n_neg = int(pos[ids == -1].sum()), int(neg[ids == -1].sum())
     pos, neg, ids = pos[ids >= 0], neg[ids >= 0], ids[ids >= 0]
     weights = np.zeros(1 << bits)
-    share = (n_pos + 1) / (n_pos + n_neg + 2)
+    share = (n.get(1, 0) + 1) / (n.get(0, 0) + n.get(1, 0) + 2)
     if not n_pos or not n_neg:
         return Model(weights, float(np.log(share / (1 - share))), orders, bits)
     rate = (pos + 1) / (n_pos + 2), (neg + 1) / (n_neg + 2)
@@ -109,7 +104,7 @@ def fit(labelled: DataFrame, label_col: str, text_col: str = "text", orders: tup
     order = np.lexsort((ids, -strength))[:features]
     order = order[strength[order] > 3]
     kept, scale = ids[order], ratio[order]
-    rows_of = _sample(rows, kept, orders, bits, sample)
+    rows_of = _held(rows, kept, orders, bits)
     labels = np.array([k for k, _ in rows_of], dtype=float)
     x = Csr([(g, scale[g]) for _, g in rows_of], len(kept))
     # A class counts as the whole training table has it, however many of it the sample holds.
@@ -126,8 +121,8 @@ def fit(labelled: DataFrame, label_col: str, text_col: str = "text", orders: tup
     return Model(weights, float(w[-1]), orders, bits)
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` without its text and with ``name``: the probability of class 1, of the whole text.
+def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score", keep_text: bool = False) -> DataFrame:
+    """``docs``, without its text unless ``keep_text``, and with ``name``: the probability of class 1, of the whole text.
 
     NULL, empty and blank texts hold no n-gram and get the probability that the bias gives. Each row is scored by its
     text alone; other columns pass through.
@@ -144,4 +139,4 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
 
         return compute
 
-    return from_texts(docs, text_col, f"{name} double", make, keep_text=False)
+    return from_texts(docs, text_col, f"{name} double", make, keep_text)
