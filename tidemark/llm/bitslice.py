@@ -87,9 +87,11 @@ def near(planes: np.ndarray, word: np.ndarray, shift: np.ndarray, alive: np.ndar
     return word[at] * 64 + lane, shift[at]
 
 
-def forest(bucket: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def forest(bucket: np.ndarray, fps: np.ndarray, radius: int, accept=None) -> tuple[np.ndarray, np.ndarray]:
     """Rows (i, j) of a forest that joins what links of at most ``radius`` bits join inside each bucket.
 
+    Of these links only those count for which ``accept`` (rows i, rows j -> bool), if given, is true.
+
     ``bucket`` is sorted. Pairs that are already joined are not compared again, so a bucket of near copies costs one
     sweep, and no more links than rows leave it.
     """
@@ -116,6 +118,9 @@ def forest(bucket: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray
             alive.append(packed[at])
             held += len(at) + 1
         rows, by = near(planes, np.concatenate(words), np.concatenate(shifts), np.concatenate(alive), radius)
+        if accept and len(rows):
+            good = accept(rows, rows + by)
+            rows, by = rows[good], by[good]
         for i, j in zip(rows.tolist(), (rows + by).tolist(), strict=True):
             a, b = i, j
             while root[a] != a:

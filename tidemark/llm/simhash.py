@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitslice import forest
-from .common import LOWER, from_texts, stored
+from .common import LOWER, free_name, from_texts, stored
 from .graph import components
 
 #: Rows of a bucket that one comparison holds. Larger buckets are compared block by block, each pair of blocks a task.
@@ -81,28 +81,35 @@ def pigeonhole(bits: Column, radius: int) -> Column:
     return F.array(*keys)
 
 
-def bucket_links(rows: DataFrame, radius: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def bucket_links(rows: DataFrame, radius: int, block_rows: int = BLOCK_ROWS, sketch: str | None = None,
+                 most: int = 0) -> DataFrame:
     """Links (a, b) that join what fingerprints within ``radius`` join in each bucket of ``rows``.
 
-    ``rows`` has node (long), bits (long), plan and key. Buckets of one row are dropped before the shuffle. A bucket
+    ``rows`` has node (long), bits (long), plan and key, and may have a binary ``sketch`` in which linked rows must
+    differ in at most ``most`` bits as well. Buckets of one row are dropped before the shuffle. A bucket
     of more than ``block_rows`` rows is dealt into blocks by node, and each pair of its blocks is compared by a task
     of its own, so no task holds more than two blocks of one bucket.
     """
+    extra = [sketch] if sketch else []
     sizes = rows.groupBy("plan", "key").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / block_rows).cast("int")
     held = rows.join(sizes, ["plan", "key"]).select(
-        "node", "bits", "plan", "key", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("i")
+        "node", "bits", *extra, "plan", "key", blocks.alias("blocks"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("i")
     )
     dealt = held.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        F.xxhash64("plan", "key", F.least("i", "j"), F.greatest("i", "j")).alias("bucket"), "node", "bits"
+        F.xxhash64("plan", "key", F.least("i", "j"), F.greatest("i", "j")).alias("bucket"), "node", "bits", *extra
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Whole buckets of the sorted partition, a few tens of thousands of rows at a time."""
-        rest = [np.empty(0, np.int64)] * 3
+        rest = [np.empty(0, np.int64)] * 3 + [np.empty(0, object)] * len(extra)
 
         def links(cols):
-            i, j = forest(cols[0], cols[2].view(np.uint64), radius)
+            def accept(i, j):
+                a, b = (np.frombuffer(b"".join(cols[3][k].tolist()), dtype="<u8").reshape(len(k), -1) for k in (i, j))
+                return np.bitwise_count(a ^ b).sum(axis=1) <= most
+
+            i, j = forest(cols[0], cols[2].view(np.uint64), radius, accept if extra else None)
             return pa.RecordBatch.from_arrays([pa.array(cols[1][i]), pa.array(cols[1][j])], ["a", "b"])
 
         for batch in batches:
@@ -137,3 +144,68 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     firsts = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = joined.join(firsts, "root").select("bits", "component_id")
     return prints.join(labels, "bits").select(F.col("doc").alias(id_col), F.col("bits").alias("simhash"), "component_id")
+
+
+#: For near copies by similarity: minwise values of a text, of which the first are banded to choose the buckets.
+MINIMA, BANDS, BAND_VALUES = 512, 20, 5
+
+#: Fingerprint bits beyond which a pair is not compared further: 16 of 64 are many for texts of similarity 0.8.
+COPY_RADIUS = 16
+
+
+def minima(hashes: np.ndarray, factors: np.ndarray, chunk: int = 512) -> np.ndarray:
+    """Least value of the hashes under each of the multiplications; all ones for no hash."""
+    out = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
+    for a in range(0, len(hashes), chunk):
+        np.minimum(out, (hashes[a : a + chunk, None] * factors).min(axis=0), out=out)
+    return out
+
+
+def sketches(docs: DataFrame, text_col: str, words: int, seed: int) -> DataFrame:
+    """``docs`` without its text and with ``bits`` (fingerprint), ``node`` (a hash of the shingle set's minima),
+    ``sketch`` (one bit of each minimum) and ``bands`` (hashes of groups of minima)."""
+    factors = np.random.default_rng(seed).integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def make():
+        def compute(texts: list[bytes]) -> list[pa.Array]:
+            bits, nodes, marks, bands = [], [], [], []
+            for text in texts:
+                hashes = shingle_hashes(text, words, seed)
+                least = minima(np.unique(hashes), factors)
+                raw = least.astype("<u8").tobytes()
+                bits.append(majority(hashes))
+                nodes.append(xxhash.xxh3_64_intdigest(raw))
+                marks.append(np.packbits(least * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(63) == 1).tobytes())
+                step = 8 * BAND_VALUES
+                bands.append(np.array([xxhash.xxh3_64_intdigest(raw[k * step : (k + 1) * step]) for k in range(BANDS)], dtype=np.uint64).view(np.int64))
+            longs = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (bits, nodes)]
+            return [*longs, pa.array(marks, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+
+        return compute
+
+    return from_texts(docs, text_col, "bits long, node long, sketch binary, bands array<long>", make, keep_text=False)
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, seed: int = 42,
+                   similarity: float = 0.8, radius: int = COPY_RADIUS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the least id, any one of rows with the same id.
+
+    Two texts are near copies if their sets of ``words``-word shingles have a Jaccard similarity of ``similarity`` or
+    more, as their minwise bits estimate it (standard error 0.03 at 0.8). A fingerprint of 64 bits tells such texts
+    apart from others only at a radius for which no blocks of bits prune, so pairs that share a band of minima are
+    compared: by bit planes first and, within ``radius``, by their minwise bits. NULL, empty and blank texts are copies
+    of each other; a NULL id is kept only where its group has no other; an empty table gives no rows.
+    """
+    number = free_name(docs, "number")
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    keyed = rows.select(F.col(number).alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    drawn = stored(sketches(keyed, "text", words, seed), "sketches")
+    least = F.min(F.struct(F.col("doc").isNull().alias("absent"), "doc", "row")).alias("least")
+    nodes = drawn.groupBy("node").agg(*[F.first(c).alias(c) for c in ("bits", "sketch", "bands")], least)
+    nodes = stored(nodes, "nodes")
+    buckets = nodes.select("node", "bits", "sketch", F.posexplode("bands").alias("plan", "key"))
+    # A pair of similarity s differs in (1 - s) / 2 of its minwise bits.
+    links = bucket_links(buckets, radius, block_rows, "sketch", int(MINIMA * (1 - similarity) / 2))
+    roots = components(links)
+    stay = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
+    return rows.join(stay.select(F.col("least.row").alias(number)), number, "left_semi").drop(number)
