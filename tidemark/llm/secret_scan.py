@@ -7,6 +7,8 @@ when it yields fewer than ``MAX_RATIO`` characters per token, unless it is a kno
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
@@ -74,16 +76,24 @@ def find_secrets(texts: list[bytes], encode) -> list[list[tuple[int, int, int]]]
     for a, b in _runs(_HEX_CHARS[codes], HEX_LEAST):
         k, zero = at(a)
         found[k].append((2, a - zero, b - zero))
+    # Of each text: the starts of its spans so far, and the furthest end up to each.
+    covered, added = {}, []
     for a, b in _runs(_KEY_CHARS[codes], RANDOM_LEAST):
         run = joined[a:b]
         if run.isalpha():
             continue
         k, zero = at(a)
-        if any(x[1] < b - zero and a - zero < x[2] for x in found[k] if x[0] < 3):
+        if found[k] and k not in covered:
+            spans = sorted(x[1:] for x in found[k])
+            covered[k] = [x for x, _ in spans], list(accumulate((y for _, y in spans), max))
+        before = bisect_left(covered[k][0], b - zero) if k in covered else 0
+        if before and covered[k][1][before - 1] > a - zero:
             continue
-        word = re.search(rb"\S*$", texts[k][: a - zero][-256:])[0] + re.match(rb"\S*", texts[k][a - zero :][: 256 + b - a])[0]
+        word = re.search(rb"\S*$", joined[max(zero, a - 256) : a])[0] + re.match(rb"\S*", joined[a : b + 256])[0]
         if not is_known(run, word) and len(run) < MAX_RATIO * len(encode(run.decode())):
-            found[k].append((3, a - zero, b - zero))
+            added.append((k, (3, a - zero, b - zero)))
+    for k, span in added:
+        found[k].append(span)
     for k, spans in enumerate(found):
         if spans and not texts[k].isascii():
             chars = np.cumsum(np.frombuffer(texts[k], dtype=np.uint8) & 0xC0 != 0x80)
