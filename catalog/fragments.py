@@ -116,18 +116,18 @@ fragment("dcamp", """
 SELECT campaign_id, campaign_id AS campaign_name, min(CAST(event_timestamp AS DATE)) AS effective_start_date,
   CAST(NULL AS DATE) AS effective_end_date, true AS is_active FROM codes GROUP BY campaign_id
 """)
+fragment("code_days", """
+SELECT product_id, campaign_id, CAST(event_timestamp AS DATE) AS event_date, coalesce(discount_value, 0) AS discount_value,
+  count(*) AS n, count_if(event_name = 'view_item') AS v, count_if(event_name = 'begin_checkout') AS c,
+  count_if(event_name = 'purchase') AS b, sum(item_revenue) FILTER (event_name = 'purchase') AS money
+FROM codes GROUP BY ALL
+""")
+# Every day with a code has a snapshot of its product.
 fragment("fpc", """
-SELECT x.product_id, x.campaign_id, p.price, coalesce(x.discount_value, 0) AS discount_value,
-  count(*) AS total_events, count(*) FILTER (event_name = 'view_item') AS views,
-  count(*) FILTER (event_name = 'begin_checkout') AS checkouts,
-  count(*) FILTER (event_name = 'purchase') AS purchases,
-  CAST(sum(CASE WHEN event_name = 'purchase' THEN item_revenue ELSE 0 END) AS DECIMAL(18,2)) AS revenue,
-  min(CAST(event_timestamp AS DATE)) AS first_seen_date, max(CAST(event_timestamp AS DATE)) AS last_seen_date
-FROM codes x
-JOIN dcamp c ON c.campaign_id = x.campaign_id AND c.effective_start_date <= CAST(x.event_timestamp AS DATE)
-JOIN dprod p ON p.product_id = x.product_id AND p.effective_start_date <= CAST(x.event_timestamp AS DATE)
-  AND (p.effective_end_date IS NULL OR CAST(x.event_timestamp AS DATE) < p.effective_end_date)
-GROUP BY x.product_id, x.campaign_id, p.price, coalesce(x.discount_value, 0)
+SELECT product_id, campaign_id, price, discount_value, CAST(sum(n) AS BIGINT) AS total_events, CAST(sum(v) AS BIGINT) AS views,
+  CAST(sum(c) AS BIGINT) AS checkouts, CAST(sum(b) AS BIGINT) AS purchases,
+  CAST(coalesce(sum(money), 0) AS DECIMAL(18,2)) AS revenue, min(event_date) AS first_seen_date, max(event_date) AS last_seen_date
+FROM code_days JOIN pday USING (product_id, event_date) GROUP BY product_id, campaign_id, price, discount_value
 """)
 fragment("pdaily", """
 SELECT CAST(strftime(event_timestamp, '%Y%m%d') AS INTEGER) AS date_id, product_id,

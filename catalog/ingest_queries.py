@@ -173,7 +173,7 @@ def _(spark, sf):
     out, mark = scratch_dir(spark, "dedup"), scratch_dir(spark, "mark")
     # Every message arrives twice.
     twice = messages.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    jobs.write_available(jobs.dedup_messages(twice, "event_id", "event_time"), out, mark)
+    jobs.write_available(jobs.dedup_messages(twice, "event_id"), out, mark)
     return spark.read.parquet(out).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
@@ -224,8 +224,8 @@ def _(spark, sf):
 
 @query("P1_split_items", """
 SELECT CAST(items AS INTEGER) AS items, count(*) AS events FROM (
-  SELECT CASE WHEN event_type NOT IN ('view', 'click', 'signup', 'purchase') THEN 0
-    WHEN k % 6 = 1 THEN 1 WHEN k % 5 = 0 THEN 2 ELSE 1 END AS items FROM canon WHERE k <> 97) GROUP BY 1
+  SELECT CASE WHEN s.event_name = 'other' THEN 0 WHEN k % 6 = 1 THEN 1 WHEN k % 5 = 0 THEN 2 ELSE 1 END AS items
+  FROM stg s JOIN canon c ON CAST(c.event_id AS VARCHAR) = s.event_id WHERE k <> 97) GROUP BY 1
 """)
 def _(spark, sf):
     good, _ = ev.split_parsed(_parsed(spark, sf))

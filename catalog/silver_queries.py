@@ -230,18 +230,19 @@ FROM stg WHERE user_id IS NOT NULL AND {condition} GROUP BY user_id
 frag.fragment("u_old", _user_first_sql(f"event_timestamp < TIMESTAMP '{HALF}'"))
 frag.fragment("u_new", _user_first_sql(f"event_timestamp >= TIMESTAMP '{HALF}'"))
 frag.fragment("u_changes", """
-SELECT user_id, min(change_date) AS change_date, min(fpd) FILTER (fpd IS NOT NULL) AS first_purchase_date,
-  bool_or(inst) AS has_used_installments
-FROM (
-  SELECT n.user_id, n.first_event AS change_date, n.first_buy AS fpd, n.first_inst IS NOT NULL AS inst
-  FROM u_new n LEFT JOIN u_old o USING (user_id) WHERE o.user_id IS NULL
-  UNION ALL
-  SELECT n.user_id, n.first_buy, n.first_buy, o.first_inst IS NOT NULL FROM u_new n JOIN u_old o USING (user_id)
-  WHERE n.first_buy IS NOT NULL AND (o.first_buy IS NULL OR n.first_buy < o.first_buy)
-  UNION ALL
-  SELECT n.user_id, n.first_inst, o.first_buy, true FROM u_new n JOIN u_old o USING (user_id)
-  WHERE n.first_inst IS NOT NULL AND o.first_inst IS NULL)
-GROUP BY user_id
+WITH seen AS (
+  SELECT coalesce(n.user_id, o.user_id) AS user_id, o.user_id IS NULL AS is_new, n.first_event AS came,
+    n.first_buy AS buy, n.first_inst AS inst, o.first_buy AS old_buy, o.first_inst AS old_inst
+  FROM u_new n FULL JOIN u_old o USING (user_id)),
+marked AS (
+  SELECT *, CASE WHEN is_new THEN came END AS d_new,
+    CASE WHEN NOT is_new AND buy < coalesce(old_buy, DATE '9999-12-31') THEN buy END AS d_buy,
+    CASE WHEN NOT is_new AND old_inst IS NULL THEN inst END AS d_inst
+  FROM seen)
+SELECT user_id, least(d_new, d_buy, d_inst) AS change_date,
+  CASE WHEN is_new OR d_buy IS NOT NULL THEN buy ELSE old_buy END AS first_purchase_date,
+  coalesce(CASE WHEN is_new THEN inst ELSE old_inst END, d_inst) IS NOT NULL AS has_used_installments
+FROM marked WHERE least(d_new, d_buy, d_inst) IS NOT NULL
 """)
 
 

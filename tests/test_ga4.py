@@ -62,6 +62,36 @@ def test_long_item_text_is_split_whole(spark):
     assert items == [big, ITEM]
 
 
+def split(spark, text):
+    return spark.range(1).select(ga4.split_items(F.lit(text)).alias("i")).first().i
+
+
+def test_items_of_any_depth(spark):
+    deep = "{item_id=P1, item_params=[{key=a, value={string_value={x={y={z=1}}}}}]}"
+    assert split(spark, f"[{deep}, {ITEM}, {deep}]") == [deep, ITEM, deep]
+    nest = "{" * 40 + "x" + "}" * 40
+    assert split(spark, f"[{nest}]") == [nest]
+    assert split(spark, "[}{a=1}]") == ["{a=1}"]
+    assert split(spark, "[]") == split(spark, "") == []
+
+
+def test_event_id_of_many_backslashes(spark):
+    for n in (1, 2, 64, 65, 200, 201):
+        user = "\\" * n + "é" + "\\" * n + "u00E9"
+        df = spark.createDataFrame([(TS, user)], "m long, u string").selectExpr("*", "'e' AS n", "'p' AS p")
+        body = json.dumps({"evt": "e", "pid": "p", "ts": str(TS * 1000), "uid": user}, sort_keys=True)
+        assert df.select(ga4.event_id("m", "u", "n", "p")).first()[0] == hashlib.sha256(body.encode()).hexdigest()
+
+
+def test_odd_timestamps_are_read_or_become_dead_letters(spark):
+    stamps = [TS, f"{TS}.0", str(TS), TS * 1000, "9.3e18", 10**20, "", "soon", -1]
+    rows, _ = flat(spark, *[event(f"[{ITEM}]", event_timestamp=s, user_id=str(k)) for k, s in enumerate(stamps)])
+    good, bad = ingest.validate(rows)
+    assert sorted(r.user_id for r in good.collect()) == ["0", "1", "2", "8"]
+    assert {r.stage for r in bad.collect()} == {"validate"} and bad.count() == 5
+    assert len({r.event_timestamp for r in good.filter("user_id < 3").collect()}) == 1
+
+
 @pytest.mark.parametrize(
     "user, product",
     [("u1", "P1"), (None, None), ('q"uo\\te', "é漢"), ("tab\t\x01", "\\u00E9 É"), ("😀", "\x7f/")],

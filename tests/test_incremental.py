@@ -21,6 +21,10 @@ TABLES = {
     ),
     "fct_product_daily_performance": (),
     "dim_products": (),
+    "fct_product_campaigns": (),
+    "dim_campaigns": ("campaign_id", "campaign_name", "effective_start_date", "is_active"),
+    "dim_experiments": ("experiment_id", "effective_start_date", "is_active"),
+    "dim_item_lists": ("item_list_id", "effective_start_date", "is_active"),
     "fct_events": ("event_id", "event_timestamp", "user_id", "platform_id", "date_id", "price"),
 }
 

@@ -78,7 +78,7 @@ def test_insert_if_unseen_and_name_refresh(spark):
     )
     dim = scd.merge_item_lists(scd.merge_item_lists(none, one), two)
     found = {r.item_list_id: (r.item_list_name, r.effective_start_date) for r in dim.collect()}
-    assert found == {"L1": ("List L1", d(1)), "L2": ("List L2", d(0))}
+    assert found == {"L1": ("List L1", d(0)), "L2": ("List L2", d(0))}
 
 
 def test_campaign_catalog_and_empty_codes(spark):

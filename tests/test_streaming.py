@@ -70,10 +70,21 @@ def test_messages_are_deduplicated_across_files(spark, tmp_path):
         (folder / f"{n}.json").write_text("\n".join(map(json.dumps, rows)))
     stream = spark.readStream.schema("id int, at timestamp").option("maxFilesPerTrigger", 1).json(str(folder))
     out = str(tmp_path / "out")
-    jobs.write_available(jobs.dedup_messages(stream, "id", "at"), out, str(tmp_path / "mark"))
+    jobs.write_available(jobs.dedup_messages(stream, "id"), out, str(tmp_path / "mark"))
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4, 5]
 
 
+def test_a_first_arrival_is_never_too_late(spark, tmp_path):
+    folder = tmp_path / "late"
+    folder.mkdir()
+    for n, (i, day) in enumerate([(1, "2025-02-01"), (3, "2025-02-01"), (4, "2025-02-01"), (2, "2025-01-01"), (1, "2025-01-01")]):
+        (folder / f"{n}.json").write_text(json.dumps({"id": i, "at": f"{day} 00:00:00"}))
+    stream = spark.readStream.schema("id int, at timestamp").option("maxFilesPerTrigger", 1).json(str(folder))
+    out = str(tmp_path / "out")
+    jobs.write_available(jobs.dedup_messages(stream, "id"), out, str(tmp_path / "mark"))
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
+
+
 def test_stream_sessions_equal_closed_batch_sessions(spark, tmp_path):
     start = datetime(2025, 1, 1)
     times = [0, 10, 40, 41, 75, 200, 400]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import col, pin
 
-# One item: balanced braces down to item > parameter > value; possessive, so it never backtracks.
+# One item of the usual depth, item > parameter > value; possessive, so it never backtracks.
 ITEM_PATTERN = r"\{(?:[^{}]++|\{(?:[^{}]++|\{[^{}]*+\})*+\})*+\}"
 
 # Fixed values of the event format: a text value ends before a key that starts like one of these.
@@ -29,11 +29,34 @@ def _after(name: str, value: str) -> str:
     return f"{name}=(?<![A-Za-z0-9_]{name}=){value}"
 
 
+def _split_by_depth(items: Column) -> Column:
+    """Texts between an outermost brace and the one that closes it, at any depth of nesting."""
+    tokens = F.regexp_extract_all(items, F.lit(r"[{}]|[^{}]+"), F.lit(0))
+    nothing = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.array().cast("array<string>").alias("done"))
+
+    def read(state, token):
+        step = F.when(token == "{", 1).when((token == "}") & (state["depth"] > 0), -1).otherwise(0)
+        depth = state["depth"] + step
+        text = F.when((state["depth"] > 0) | (depth > 0), F.concat(state["text"], token)).otherwise("")
+        closed = (depth == 0) & (state["depth"] > 0)
+        return F.struct(
+            depth.alias("depth"),
+            F.when(closed, "").otherwise(text).alias("text"),
+            F.when(closed, F.concat(state["done"], F.array(text))).otherwise(state["done"]).alias("done"),
+        )
+
+    return F.aggregate(tokens, nothing, read, lambda state: state["done"])
+
+
 def split_items(items) -> Column:
-    """Item texts of the array text; empty for NULL and ``[]``."""
-    return F.coalesce(
-        F.regexp_extract_all(col(items), F.lit(ITEM_PATTERN), F.lit(0)), F.array().cast("array<string>")
-    )
+    """Item texts of the array text; empty for NULL and ``[]``.
+
+    Where the usual pattern leaves braces over, items are nested deeper, and are cut by counting depth.
+    """
+    text = col(items)
+    usual = F.regexp_extract_all(text, F.lit(ITEM_PATTERN), F.lit(0))
+    deeper = F.regexp_replace(text, ITEM_PATTERN, "").rlike("[{}]")
+    return F.coalesce(F.when(deeper, _split_by_depth(text)).otherwise(usual), F.array().cast("array<string>"))
 
 
 def _known(value: Column, null_tokens=NULL_TOKENS) -> Column:
@@ -126,8 +149,9 @@ def json_text(text: Column) -> Column:
     """A string as JSON literal content, ASCII only, with lower-case ``\\uxxxx`` escapes."""
     wrapped = F.to_json(F.struct(text.alias("v")), {"writeNonAsciiCharacterAsCodePoint": "true"})
     body = F.substring(wrapped, F.lit(7), F.length(wrapped) - 8)
-    # Lower the hex digits of real escapes only: an even run of backslashes before \u is text.
-    parts = F.split(body, r"(?<=(?<!\\)(?:\\\\){0,64})\\u(?=[0-9A-F]{4})")
+    # Lower the hex digits of real escapes only: pairs of backslashes are text and step aside. The mark is a control
+    # character, which the JSON text has only as an escape.
+    parts = F.split(F.replace(body, F.lit("\\\\"), F.lit("\x01")), r"\\u(?=[0-9A-F]{4})")
     lowered = F.transform(
         parts,
         lambda p, i: F.when(i == 0, p).otherwise(
@@ -135,11 +159,12 @@ def json_text(text: Column) -> Column:
         ),
     )
     escaped = F.replace(F.array_join(lowered, "\\u"), F.lit("\x7f"), F.lit("\\u007f"))
+    escaped = F.replace(escaped, F.lit("\x01"), F.lit("\\\\"))
     return F.when(text.rlike(r'^[ !#-\[\]-~]*$'), text).otherwise(escaped)
 
 
 def event_id(micros, user, name, product) -> Column:
-    """SHA-256 of the sorted-key JSON of event name, product, time in ns and user."""
+    """SHA-256 of the sorted-key JSON of event name, product, time in ns and user; NULL if that time fits no bigint."""
 
     def part(value, default):
         return json_text(F.coalesce(col(value).cast("string"), F.lit(default)))
@@ -147,7 +172,7 @@ def event_id(micros, user, name, product) -> Column:
     body = F.concat(
         F.lit('{"evt": "'), part(name, "None"),
         F.lit('", "pid": "'), part(product, ""),
-        F.lit('", "ts": "'), (col(micros) * 1000).cast("string"),
+        F.lit('", "ts": "'), F.try_multiply(col(micros), F.lit(1000)).cast("string"),
         F.lit('", "uid": "'), part(user, "None"),
         F.lit('"}'),
     )

@@ -49,14 +49,11 @@ def product_daily(net_new: DataFrame) -> DataFrame:
     )
 
 
-def product_campaigns(
-    net_new: DataFrame, dim_campaigns: DataFrame, dim_products: DataFrame, distinct_codes: bool = False
-) -> DataFrame:
-    """Product x campaign x version price x discount counters.
+def product_campaign_days(net_new: DataFrame, distinct_codes: bool = False) -> DataFrame:
+    """Additive counters per product, campaign, day and discount.
 
-    Events collapse to (product, code list, day, discount) before codes are exploded and the dimensions
-    are consulted, so both joins see day-level rows however busy a product or campaign is. A code listed
-    twice in one event counts twice unless ``distinct_codes``.
+    Events collapse to (product, code list, day, discount) before codes are exploded. A code listed twice in one event
+    counts twice unless ``distinct_codes``.
     """
     day_level = (
         net_new.filter(
@@ -77,14 +74,26 @@ def product_campaigns(
             "discount_campaigns",
             F.array_join(F.array_distinct(F.split("discount_campaigns", r"\|")), "|"),
         )
-    exploded = campaign_rows(day_level)
+    keys = ["product_id", "campaign_id", "day", "discount_value"]
+    counters = ["total_events", "views", "checkouts", "purchases"]
+    return campaign_rows(day_level).groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in counters], F.sum("revenue").cast("decimal(18,2)").alias("revenue")
+    ).select(*schemas.PRODUCT_CAMPAIGN_DAYS.names)
+
+
+def priced_campaigns(days: DataFrame, dim_campaigns: DataFrame, dim_products: DataFrame) -> DataFrame:
+    """Product x campaign x version price x discount counters of ``product_campaign_days`` rows.
+
+    The price is that of the version valid on the day, as the dimensions know it now, so late events and late
+    snapshots give what one run over everything gives.
+    """
     campaigns = dim_campaigns.select(
         F.col("campaign_id").alias("dim_campaign"), "effective_start_date", "effective_end_date"
     )
     products = dim_products.select(
         F.col("product_id").alias("dim_product"), "price", "effective_start_date", "effective_end_date"
     )
-    in_campaign = exploded.join(
+    in_campaign = days.join(
         campaigns, (F.col("campaign_id") == F.col("dim_campaign")) & covers(F.col("day"))
     ).drop("effective_start_date", "effective_end_date", "dim_campaign")
     priced = in_campaign.join(
@@ -103,6 +112,13 @@ def product_campaigns(
     )
 
 
+def product_campaigns(
+    net_new: DataFrame, dim_campaigns: DataFrame, dim_products: DataFrame, distinct_codes: bool = False
+) -> DataFrame:
+    """``priced_campaigns`` of the days of ``net_new``."""
+    return priced_campaigns(product_campaign_days(net_new, distinct_codes), dim_campaigns, dim_products)
+
+
 def purchases(facts: DataFrame) -> DataFrame:
     return facts.filter(is_event("purchase")).select(
         *PURCHASE_COLUMNS, F.to_date("event_timestamp").alias("event_date")

@@ -22,8 +22,14 @@ _NUMBERS = {
 }
 
 
+def micros_of(text: Column) -> Column:
+    """Microseconds of a whole or decimal number; NULL for anything else, so the row becomes a dead letter."""
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,6)").try_cast("bigint"))
+
+
 def micros_to_ntz(micros: Column) -> Column:
-    seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    """NULL for a time of over twelve digits of seconds, such as nanoseconds taken for microseconds."""
+    seconds = (micros.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).try_cast("decimal(18,6)")
     zero = F.lit(0)
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
@@ -59,7 +65,7 @@ def flatten_events(events: DataFrame, run_ts, options: Options = Options()) -> D
 
     ``cast_errors`` names the numeric fields whose text does not fit the column.
     """
-    rows = explode_items(events.withColumn("micros", F.col("event_timestamp").try_cast("bigint")), options)
+    rows = explode_items(events.withColumn("micros", micros_of(F.col("event_timestamp"))), options)
     rows = pin(rows, "codes", ga4.split_discounts("item.discounts", options.experiment_pattern))
     stock = F.col("item.is_in_stock")
     columns = {

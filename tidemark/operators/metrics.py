@@ -31,7 +31,14 @@ def platform_daily(features: DataFrame, purchases: DataFrame) -> DataFrame:
         _count("had_checkout").alias("sessions_with_checkout"),
         _count("had_purchase").alias("sessions_with_purchase"),
     )
-    return funnel.join(paid, ["date", "platform_id"], "left").select(
+    # A purchase after midnight may fall on a day on which no session began.
+    counts = ("sessions", "unique_users", "total_events", "bounces", "sessions_with_view", "sessions_with_checkout",
+              "sessions_with_purchase")
+    both = funnel.unionByName(paid, allowMissingColumns=True).groupBy("date", "platform_id").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+        *[F.max(c).alias(c) for c in ("purchase_lines", "revenue", "installment_lines")],
+    )
+    return both.select(
         "date",
         "platform_id",
         "sessions",
@@ -40,6 +47,7 @@ def platform_daily(features: DataFrame, purchases: DataFrame) -> DataFrame:
         "sessions_with_view",
         "sessions_with_checkout",
         "sessions_with_purchase",
+        "revenue",
         rate("bounces", "sessions").alias("bounce_rate"),
         rate("sessions_with_checkout", "sessions_with_view").alias("view_to_checkout_rate_session"),
         rate("sessions_with_purchase", "sessions_with_checkout").alias("checkout_to_purchase_rate_session"),

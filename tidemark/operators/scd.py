@@ -223,7 +223,13 @@ def first_seen(df: DataFrame, nk: str) -> DataFrame:
 
 
 def scd_insert_unseen(dim: DataFrame, seen: DataFrame, nk: str, names: dict | None = None) -> DataFrame:
-    """One open version per key the dimension has no active row for; ``names`` maps columns to values."""
+    """One open version per key the dimension has no active row for; ``names`` maps columns to values.
+
+    A key that late events show on an earlier day starts on that day, so the order of batches does not matter.
+    """
+    late = seen.select(nk, F.col("first_date").alias("late_date"))
+    start = F.when(F.col(ACTIVE), F.least(START, F.coalesce("late_date", START))).otherwise(F.col(START))
+    known = dim.join(late, nk, "left").withColumn(START, start).select(*dim.columns)
     unseen = seen.join(active(dim).select(nk), nk, "left_anti")
     rows = unseen.select(
         *seen.columns,
@@ -236,7 +242,7 @@ def scd_insert_unseen(dim: DataFrame, seen: DataFrame, nk: str, names: dict | No
     sk = [c for c in dim.columns if c.endswith("_sk")]
     for c in sk:
         rows = with_surrogate(rows, nk, c)
-    return dim.unionByName(conform(rows, dim.schema))
+    return known.unionByName(conform(rows, dim.schema))
 
 
 def latest_names(net_new: DataFrame, nk: str, name: str) -> DataFrame:

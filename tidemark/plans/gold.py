@@ -31,6 +31,15 @@ def run_gold(wh: Warehouse, as_of_date, register: bool = False) -> dict:
         "product_metrics": gold.product_metrics(t("fct_product_daily_performance")),
         "segment_abandon_then_bought_different": gold.abandon_then_bought_different(features, bought),
     }
+    out |= {
+        "abandoned_cart_value": metrics.abandoned_cart_value(features),
+        "dropped_without_purchase": metrics.dropped_without_purchase(features, bought),
+        "experiment_order_value": metrics.experiment_order_value(events),
+        "coupon_order_value": metrics.coupon_order_value(events),
+        "discounts_daily": metrics.discounts_daily(events),
+        "installment_adoption": metrics.installment_adoption(events),
+        "user_features": metrics.user_features(events),
+    }
     for name in gold.SEGMENTS:
         out[f"segment_{name}"] = gold.segment(features, name)
     if register:

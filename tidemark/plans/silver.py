@@ -60,10 +60,11 @@ def run_silver(
     if new_rows:
         platforms = lookups.dim_platforms(wh.spark, options.platforms)
         fresh = facts.fct_events(new, platforms, run_ts)
-        _, _, reach = together(
+        *_, reach = together(
             wh.spark,
             lambda: _dimensions(wh, new, done, seq),
             lambda: wh.write_delta("fct_product_daily_performance", facts.product_daily(new), seq),
+            lambda: wh.write_delta("product_campaign_days", facts.product_campaign_days(new), seq),
             lambda: _sessions(wh, fresh, stored, options, run_ts, seq, reach),
         )
         wh.append_facts(fresh, seq)
@@ -133,11 +134,6 @@ def _dimensions(wh: Warehouse, new: DataFrame, done: int, seq: int) -> None:
         merged("dim_campaigns", scd.merge_campaigns),
         merged("dim_experiments", scd.merge_experiments),
     )
-    wh.write_delta(
-        "fct_product_campaigns",
-        facts.product_campaigns(new, wh.table("dim_campaigns", seq), wh.table("dim_products", seq)),
-        seq,
-    )
 
 
 def _sessions(

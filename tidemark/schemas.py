@@ -109,6 +109,10 @@ PRODUCT_CAMPAIGNS = _ddl(
     "total_events long, views long, checkouts long, purchases long, revenue decimal(18,2),"
     "first_seen_date date, last_seen_date date"
 )
+PRODUCT_CAMPAIGN_DAYS = _ddl(
+    "product_id string, campaign_id string, day date, discount_value decimal(10,2), total_events long, views long,"
+    "checkouts long, purchases long, revenue decimal(18,2)"
+)
 CHECKPOINTS = _ddl(
     "pipeline string, hwm_ts timestamp_ntz, hwm_event_id string, last_run_current_batch_rows long,"
     "last_run_net_new_rows long, updated_at timestamp_ntz, max_session_days int"

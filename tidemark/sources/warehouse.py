@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.operators import facts
 from tidemark.operators.scd import conform
 
 SNAPSHOTS = {
@@ -31,7 +32,7 @@ SNAPSHOTS = {
 DELTAS = {
     "product_days": schemas.PRODUCT_DAYS,
     "fct_product_daily_performance": schemas.PRODUCT_DAILY,
-    "fct_product_campaigns": schemas.PRODUCT_CAMPAIGNS,
+    "product_campaign_days": schemas.PRODUCT_CAMPAIGN_DAYS,
 }
 PARTITIONED = {
     "silver_user_sessions": schemas.USER_SESSIONS,
@@ -87,13 +88,16 @@ class Warehouse:
         if name == "stg_events":
             return self._dated(name, schemas.STG_EVENTS, "ingestion_date")
         if name == "fct_events":
-            facts = self._dated(name, schemas.FCT_EVENTS, "date_id", "run_seq")
-            return facts.filter(F.col("run_seq") <= upto).drop("run_seq")
+            events = self._dated(name, schemas.FCT_EVENTS, "date_id", "run_seq")
+            return events.filter(F.col("run_seq") <= upto).drop("run_seq")
         if name in SNAPSHOTS:
             runs = [n for n in self._runs(name) if n <= upto]
             if not runs:
                 return self.empty(SNAPSHOTS[name])
             return self.spark.read.schema(SNAPSHOTS[name]).parquet(f"{self.path(name)}/run_seq={runs[-1]}")
+        if name == "fct_product_campaigns":
+            dims = (self.table("dim_campaigns", upto), self.table("dim_products", upto))
+            return facts.priced_campaigns(self.table("product_campaign_days", upto), *dims)
         if name in DELTAS:
             return self._rolled_up(name, upto)
         if name in PARTITIONED:
@@ -142,9 +146,9 @@ class Warehouse:
     def write_delta(self, name: str, df: DataFrame, seq: int) -> None:
         conform(df, DELTAS[name]).write.mode("overwrite").parquet(f"{self.path(name)}/run_seq={seq}")
 
-    def append_facts(self, facts: DataFrame, seq: int) -> None:
+    def append_facts(self, events: DataFrame, seq: int) -> None:
         replace_partitions(
-            conform(facts, schemas.FCT_EVENTS).withColumn("run_seq", F.lit(seq)),
+            conform(events, schemas.FCT_EVENTS).withColumn("run_seq", F.lit(seq)),
             self.path("fct_events"),
             ["date_id", "run_seq"],
         )
@@ -173,18 +177,15 @@ def roll_up(name: str, rows: DataFrame) -> DataFrame:
         out = rows.groupBy("product_id", "event_date").agg(best).select("product_id", "event_date", "best.*")
         return out.select(*DELTAS[name].names)
     if name == "fct_product_daily_performance":
-        keys, mins, maxs = ["date_id", "product_id"], [], []
+        keys = ["date_id", "product_id"]
     else:
-        keys = ["product_id", "campaign_id", "price", "discount_value"]
-        mins, maxs = ["first_seen_date"], ["last_seen_date"]
-    sums = [c for c in rows.columns if c not in (*keys, *mins, *maxs)]
+        keys = ["product_id", "campaign_id", "day", "discount_value"]
+    sums = [c for c in rows.columns if c not in keys]
     types = {f.name: f.dataType for f in DELTAS[name].fields}
     return (
         rows.groupBy(*keys)
         .agg(
             *[F.sum(c).cast(types[c]).alias(c) for c in sums],
-            *[F.min(c).alias(c) for c in mins],
-            *[F.max(c).alias(c) for c in maxs],
         )
         .select(*DELTAS[name].names)
     )

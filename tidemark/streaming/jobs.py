@@ -16,9 +16,13 @@ from tidemark.sources.events import append_staging, parse_lines, split_parsed, w
 from tidemark.sources.warehouse import Warehouse
 
 
-def dedup_messages(stream: DataFrame, id_col: str, ts_col: str, ttl: str = "14 days") -> DataFrame:
-    """First arrival of each message id; ids are forgotten after ``ttl``."""
-    return stream.withWatermark(ts_col, ttl).dropDuplicatesWithinWatermark([id_col])
+def dedup_messages(stream: DataFrame, id_col: str, ttl: str = "14 days") -> DataFrame:
+    """First arrival of each message id; ids are forgotten ``ttl`` after they arrived.
+
+    The watermark runs on the time of the micro-batch, not on the message's own, so a first arrival is never late.
+    """
+    arrived = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", ttl)
+    return arrived.dropDuplicatesWithinWatermark([id_col]).drop("_arrived")
 
 
 def sessionize_stream(stream: DataFrame, minutes: int = 30, watermark: str = "1 hour") -> DataFrame:
