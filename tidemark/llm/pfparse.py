@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_column, slices, stored
+from .common import bucketed, byte_column, slices, stored
 
 #: Bytes of the rolling hash, and starts of strings among which a trigger is chosen.
 HASHED, REACH = 16, 256
@@ -227,7 +227,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     extra columns are ignored.
     """
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    texts = stored(docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.monotonically_increasing_id().alias("row")), "numbered")
+    numbered = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.monotonically_increasing_id().alias("row"))
+    # Texts are shuffled this once; the joins below bring triggers and spans to them.
+    texts = bucketed(numbered, "row", "numbered")
     spans = stored(repeated_spans(texts.select("row", "text"), length, reach, group_rows), "repeats")
     start = F.struct(F.lit(b"").alias("kept"), F.lit(0).cast("long").alias("at"))
 
