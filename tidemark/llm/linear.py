@@ -34,26 +34,6 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def sparse_dot(rows: list[tuple[np.ndarray, np.ndarray]], weights: np.ndarray) -> np.ndarray:
-    return np.array([float(values @ weights[ids]) for ids, values in rows])
-
-
-class Csr:
-    """Sparse rows for products with a weight vector."""
-
-    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], width: int):
-        self.row = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
-        self.ids = np.concatenate([i for i, _ in rows]) if rows else np.empty(0, np.int64)
-        self.values = np.concatenate([v for _, v in rows]) if rows else np.empty(0)
-        self.n, self.width = len(rows), width
-
-    def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.values * weights[self.ids], self.n)
-
-    def back(self, errors: np.ndarray) -> np.ndarray:
-        return np.bincount(self.ids, self.values * errors[self.row], self.width)
-
-
 def minimize(gradient, start: np.ndarray, rounds: int, memory: int = 8) -> np.ndarray:
     """L-BFGS with backtracking; ``gradient(w)`` returns (loss, its gradient). Deterministic."""
     w = start

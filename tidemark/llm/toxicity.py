@@ -16,16 +16,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, byte_column, from_texts, labelled_sample, slices
-from .linear import Csr, distinct, minimize, ngram_ids, sigmoid
+from .linear import distinct, minimize, ngram_ids, sigmoid
 
 ORDERS = (3, 4, 5, 6)
 BITS = 20
 
 #: Labelled documents of each class that the ratios and weights are learnt from, at most.
-SAMPLE = 12_000
+SAMPLE = 6000
 
 #: N-grams kept: those whose log-count ratio is furthest beyond chance, at most so many.
-FEATURES = 20_000
+FEATURES = 10_000
 
 
 class Model(NamedTuple):
@@ -63,8 +63,8 @@ def gram_counts(labelled: DataFrame, orders: tuple[int, ...], bits: int) -> Data
     )
 
 
-def _held(rows: DataFrame, kept: np.ndarray, orders: tuple[int, ...], bits: int) -> list[tuple[int, np.ndarray]]:
-    """(label, places in ``kept`` of the n-grams held) of the sampled rows."""
+def _held(rows: DataFrame, kept: np.ndarray, orders: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels of the sampled rows, how many n-grams of ``kept`` each holds, and their places in it, row after row."""
     sent = rows.sparkSession.sparkContext.broadcast(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,8 +76,9 @@ def _held(rows: DataFrame, kept: np.ndarray, orders: tuple[int, ...], bits: int)
             rows = [np.sort(x[x >= 0]) for x in found]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.int32()))], ["label", "grams"])
 
-    got = rows.mapInArrow(run, "label int, grams array<int>").toArrow()
-    return [(k, np.asarray(g, dtype=np.int64)) for k, g in zip(got["label"].to_pylist(), got["grams"].to_pylist(), strict=True)]
+    got = rows.mapInArrow(run, "label int, grams array<int>").toArrow().combine_chunks()
+    grams = got["grams"].combine_chunks()
+    return got["label"].to_numpy(), grams.value_lengths().to_numpy(), grams.flatten().to_numpy()
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
@@ -104,17 +105,17 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_
     order = np.lexsort((ids, -strength))[:features]
     order = order[strength[order] > 3]
     kept, scale = ids[order], ratio[order]
-    rows_of = _held(rows, kept, orders, bits)
-    labels = np.array([k for k, _ in rows_of], dtype=float)
-    x = Csr([(g, scale[g]) for _, g in rows_of], len(kept))
+    labels, counts, held = _held(rows, kept, orders, bits)
+    row = np.repeat(np.arange(len(labels), dtype=np.int32), counts)
     # A class counts as the whole training table has it, however many of it the sample holds.
     each = np.where(labels == 1, share / max(1, labels.sum()), (1 - share) / max(1, (1 - labels).sum()))
 
     def gradient(w):
-        z = x.dot(w[:-1]) + w[-1]
+        z = np.bincount(row, (w[:-1] * scale)[held], len(labels)) + w[-1]
         error = each * (sigmoid(z) - labels)
         loss = float(each @ (np.logaddexp(0, z) - labels * z) + 1e-5 * (w[:-1] @ w[:-1]))
-        return loss, np.append(x.back(error) + 2e-5 * w[:-1], error.sum())
+        slope = np.bincount(held, error[row], len(kept)) * scale
+        return loss, np.append(slope + 2e-5 * w[:-1], error.sum())
 
     w = minimize(gradient, np.append(np.zeros(len(kept)), np.log(share / (1 - share))), rounds)
     weights[kept] = w[:-1] * scale
