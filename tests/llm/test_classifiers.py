@@ -147,3 +147,10 @@ def test_no_model_and_no_rows(spark):
     assert langid.fit(none) is None
     assert {r["lang_pred"] for r in langid.score(docs(spark, ODD_TEXTS), None).collect()} == {"und"}
     assert langid.score(empty(spark), None).count() == 0
+
+
+def test_a_long_text_read_in_stretches_has_the_same_ngrams():
+    mark = np.zeros(1 << 16, dtype=np.int32)
+    text = prose(1, 3000).encode()
+    whole = toxicity._ids(text, (3, 4, 5, 6), 16, mark)
+    assert sorted(whole) == sorted(toxicity._ids(text, (3, 4, 5, 6), 16, mark, stretch=1000))

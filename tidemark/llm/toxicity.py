@@ -35,10 +35,19 @@ class Model(NamedTuple):
     bits: int
 
 
-def _ids(text: bytes, orders: tuple[int, ...], bits: int, mark: np.ndarray) -> np.ndarray:
+#: Bytes whose n-grams are held at once; a longer text is read in stretches that overlap.
+STRETCH = 1 << 20
+
+
+def _ids(text: bytes, orders: tuple[int, ...], bits: int, mark: np.ndarray, stretch: int = STRETCH) -> np.ndarray:
     """Distinct n-gram ids of a text, words held apart by one space."""
     words = text.translate(LOWER).split()
-    return distinct(ngram_ids(b" " + b" ".join(words) + b" ", orders, bits), mark) if words else np.empty(0, np.int64)
+    if not words:
+        return np.empty(0, np.int64)
+    line = b" " + b" ".join(words) + b" "
+    cuts = range(0, len(line), stretch)
+    parts = [distinct(ngram_ids(line[a : a + stretch + orders[-1] - 1], orders, bits), mark) for a in cuts]
+    return parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
 
 
 def gram_counts(labelled: DataFrame, orders: tuple[int, ...], bits: int) -> DataFrame:
