@@ -109,6 +109,8 @@ def test_materialize_replaces_only_its_dates(spark, tmp_path):
     materialize(spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], schema), path, "day")
     materialize(spark.createDataFrame([("a", 9)], schema), path, "day")
     assert {(r.day, r.n) for r in spark.read.parquet(path).collect()} == {("a", 9), ("b", 3)}
+    materialize(spark.createDataFrame([("a", 7)], schema), path, "day", ["a", "b", "c"])
+    assert {(r.day, r.n) for r in spark.read.parquet(path).collect()} == {("a", 7)}
 
 
 class Session:

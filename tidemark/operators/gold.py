@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import is_event, rate, session_key
+from tidemark.functions.columns import is_event, rate
 from tidemark.operators.scd import active, covers
 from tidemark.operators.sessions import ACTOR, SESSION
 
@@ -87,8 +87,9 @@ def session_list_flags(impressions: DataFrame, attribution: DataFrame) -> DataFr
     (session, list) and combines map-side.
     """
     keys = [*ACTOR, "session_id", "item_list_id"]
-    seen = impressions.select(*keys, F.lit(1).alias("imp"), F.lit(None).cast("string").alias("event_name"))
-    acted = attribution.select(*keys, F.lit(0).alias("imp"), "event_name")
+    day = F.col("session_date").alias("date")
+    seen = impressions.select(*keys, day, F.lit(1).alias("imp"), F.lit(None).cast("string").alias("event_name"))
+    acted = attribution.select(*keys, day, F.lit(0).alias("imp"), "event_name")
 
     def flag(name):
         return F.max(F.when(is_event(name), 1).otherwise(0))
@@ -97,6 +98,7 @@ def session_list_flags(impressions: DataFrame, attribution: DataFrame) -> DataFr
         seen.unionByName(acted)
         .groupBy(*keys)
         .agg(
+            F.min("date").alias("date"),  # the same in all rows of a session
             F.sum("imp").alias("impressions"),
             F.max("imp").alias("session_exposed"),
             flag("view_item").alias("had_click"),
@@ -124,34 +126,19 @@ def _engagement(rows: DataFrame, keys: list) -> DataFrame:
     )
 
 
-def _dated(features: DataFrame, impressions: DataFrame, attribution: DataFrame) -> DataFrame:
-    sessions = features.select(
-        *ACTOR,
-        session_key("user_id", "platform_id", "session_start_ts").alias("session_id"),
-        F.col("session_date").alias("date"),
-    )
-    return session_list_flags(impressions, attribution).join(
-        sessions, [*ACTOR, "session_id"], "left"
-    )
-
-
-def engagement_daily(
-    features: DataFrame, impressions: DataFrame, attribution: DataFrame, touch: DataFrame
-) -> DataFrame:
+def engagement_daily(impressions: DataFrame, attribution: DataFrame, touch: DataFrame) -> DataFrame:
     campaigns = touch.select(*ACTOR, "session_id", "campaign_id")
     rows = (
-        _dated(features, impressions, attribution)
+        session_list_flags(impressions, attribution)
         .join(campaigns, [*ACTOR, "session_id"], "left")
         .withColumn("campaign_id", F.coalesce("campaign_id", F.lit("NONE")))
     )
     return _engagement(rows, ["date", "platform_id", "campaign_id", "item_list_id"])
 
 
-def list_daily(features: DataFrame, impressions: DataFrame, attribution: DataFrame) -> DataFrame:
+def list_daily(impressions: DataFrame, attribution: DataFrame) -> DataFrame:
     """The same without the campaign split."""
-    return _engagement(
-        _dated(features, impressions, attribution), ["date", "platform_id", "item_list_id"]
-    )
+    return _engagement(session_list_flags(impressions, attribution), ["date", "platform_id", "item_list_id"])
 
 
 def finance_daily(purchases: DataFrame, dim_users: DataFrame) -> DataFrame:

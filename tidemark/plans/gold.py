@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tidemark.operators import facts, gold, metrics
-from tidemark.sources.warehouse import Warehouse, replace_partitions
+from tidemark.sources.warehouse import Warehouse, drop_partitions, replace_partitions
 
 
 def run_gold(wh: Warehouse, as_of_date, register: bool = False) -> dict:
@@ -24,8 +24,8 @@ def run_gold(wh: Warehouse, as_of_date, register: bool = False) -> dict:
     out = {
         "price_change_events": gold.price_change_events(*dims),
         "current_status": gold.current_status(*dims, as_of_date),
-        "engagement_daily": gold.engagement_daily(features, impressions, attributed, touch),
-        "list_daily": gold.list_daily(features, impressions, attributed),
+        "engagement_daily": gold.engagement_daily(impressions, attributed, touch),
+        "list_daily": gold.list_daily(impressions, attributed),
         "platform_daily": metrics.platform_daily(features, bought),
         "finance_daily": gold.finance_daily(bought, t("dim_users")),
         "product_metrics": gold.product_metrics(t("fct_product_daily_performance")),
@@ -48,6 +48,12 @@ def run_gold(wh: Warehouse, as_of_date, register: bool = False) -> dict:
     return out
 
 
-def materialize(df: DataFrame, path: str, date_col: str) -> None:
-    """Replace the dates present in ``df`` and leave all others as they are."""
+def materialize(df: DataFrame, path: str, date_col: str, dates: list | None = None) -> None:
+    """Replace the dates present in ``df`` and leave all others as they are.
+
+    ``dates``, if given, are the dates ``df`` was computed for: those without rows are deleted.
+    """
     replace_partitions(df, path, [date_col])
+    if dates:
+        present = {str(r[0]) for r in df.select(date_col).distinct().collect()}
+        drop_partitions(df.sparkSession, path, date_col, [d for d in dates if str(d) not in present])

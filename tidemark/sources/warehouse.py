@@ -203,3 +203,10 @@ def replace_partitions(df: DataFrame, path: str, partitions: list) -> None:
         .partitionBy(*partitions)
         .parquet(path)
     )
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
+    """Delete the partitions of these values, where there are any."""
+    for value in values:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
