@@ -41,9 +41,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """All documents, each secret replaced by a mark; ``n_chars`` counts the new text."""
     name = free_name(docs, "secrets")
     found = secret_scan.secrets(docs, name=name)
-    text = secret_scan.redacted(F.col("text"), F.col(name))
-    n_chars = F.coalesce(F.length(text).cast("long"), F.col("n_chars"))
-    return found.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+    masked = found.withColumn("text", secret_scan.redacted(F.col("text"), F.col(name)))
+    n_chars = F.coalesce(F.length("text").cast("long"), F.col("n_chars"))
+    return masked.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
