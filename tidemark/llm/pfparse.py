@@ -185,7 +185,8 @@ def repeated_spans(texts: DataFrame, length: int = 400, reach: int = REACH, grou
     ``length``, and texts without repeats, are not returned.
     """
     parsed = stored(parse(texts, length, reach), "phrases")
-    again = parsed.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select("block")
+    # Stored, so that both sides of the join are plain and a block that is in very many places can be split.
+    again = stored(parsed.groupBy("block").agg(F.count("*").alias("n")).where("n > 1").select("block"), "again")
     shared = stored(parsed.join(again, "block"), "shared")
     one = F.min(F.struct("row", "first", "last", "at"))
     contexts = stored(shared.groupBy("context").agg(F.count("*").alias("copies"), F.first("block").alias("block"), one.alias("one")), "contexts")
@@ -194,7 +195,7 @@ def repeated_spans(texts: DataFrame, length: int = 400, reach: int = REACH, grou
         "row", F.col("first").cast("long").alias("begin"), (F.col("last") + length).cast("long").alias("end")
     )
     blocks = contexts.groupBy("block").agg(F.count("*").alias("rows"), F.min("copies").alias("least_copies"))
-    blocks = blocks.where("rows > 1 AND least_copies = 1").select("block", "rows")
+    blocks = stored(blocks.where("rows > 1 AND least_copies = 1").select("block", "rows"), "blocks")
     opened = contexts.join(blocks, "block").select("block", "rows", "copies", "one.*")
     asked = opened.groupBy("row").agg(F.collect_list(F.struct("block", "rows", "copies", "first", "last", "at")).alias("asked"))
     cut = texts.join(asked, "row").select("row", "text", F.explode("asked").alias("a")).select("row", "text", "a.*")
