@@ -108,6 +108,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules: DataFrame, page_col: str =
     totals = [F.coalesce(F.sum(c), F.lit(0)).alias(name) for c, name in (("of", "n"), ("bad", "bad"))]
     scores = stored(reputations(seen.join(given, "page", "left").groupBy("host").agg(*totals)), "scores")
     hosts = scores.join(rules_by_host(scores.select("host"), rules), "host", "left").select("host", "bound", "rules")
+    # Stored, so that both sides of the join below are plain and the pages of one host can be split.
+    hosts = stored(hosts, "judged-hosts")
     fitting = F.filter("rules", lambda r: F.startswith(F.col("path"), r["path"]))
     judged = seen.join(hosts, "host").withColumn("fit", F.try_element_at(fitting, F.lit(1)))
     method = F.when(F.col("bound") > bad_rate, "block").otherwise("allow")
