@@ -27,6 +27,9 @@ SAMPLE = 6000
 #: N-grams kept: those whose log-count ratio is furthest beyond chance, at most so many.
 FEATURES = 10_000
 
+#: Weight of the squared weights against the mean logistic loss; few or doubtful labels call for more.
+PENALTY = 1e-5
+
 
 class Model(NamedTuple):
     weights: np.ndarray  # one for each n-gram id, zero where it has no feature
@@ -91,7 +94,7 @@ def _held(rows: DataFrame, kept: np.ndarray, orders: tuple[int, ...], bits: int)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
-        orders: tuple[int, ...] = ORDERS, bits: int = BITS, features: int = FEATURES, rounds: int = 100) -> Model:
+        orders: tuple[int, ...] = ORDERS, bits: int = BITS, features: int = FEATURES, penalty: float = PENALTY, rounds: int = 100) -> Model:
     """A model of the documents that ``labels`` (key, label) marks 0 or 1, at most ``sample`` of each.
 
     A NULL text holds nothing. The key only decides which rows are sampled; the shares of the classes are those of all
@@ -122,9 +125,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_
     def gradient(w):
         z = np.bincount(row, (w[:-1] * scale)[held], len(labels)) + w[-1]
         error = each * (sigmoid(z) - labels)
-        loss = float(each @ (np.logaddexp(0, z) - labels * z) + 1e-5 * (w[:-1] @ w[:-1]))
+        loss = float(each @ (np.logaddexp(0, z) - labels * z) + penalty * (w[:-1] @ w[:-1]))
         slope = np.bincount(held, error[row], len(kept)) * scale
-        return loss, np.append(slope + 2e-5 * w[:-1], error.sum())
+        return loss, np.append(slope + 2 * penalty * w[:-1], error.sum())
 
     w = minimize(gradient, np.append(np.zeros(len(kept)), np.log(share / (1 - share))), rounds)
     weights[kept] = w[:-1] * scale
