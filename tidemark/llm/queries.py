@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, langid, packing, pfparse, quality, reputation, secret_scan, simhash, toxicity
+from . import ann, decontaminate, langid, packing, pfparse, quality, reputation, runs, secret_scan, simhash, toxicity
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -199,3 +199,43 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def with_loops(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``docs``; one text in ten, chosen by its id, repeats a stretch of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def looped(words):
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        rounds = F.ceil((n - a) / p).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), rounds))
+        return F.when(n > 0, F.array_join(F.slice(F.concat(F.slice(words, 1, a.cast("int")), tail), 1, n), " "))
+
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # The words are the one element of an array, so that they are taken once.
+    text = F.when(h % 10 == 0, F.transform(F.array(words), looped)[0]).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@query
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(with_loops(table(spark, sf_dir, "documents")))
+    best = F.reduce(
+        F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))),
+        F.get("runs", F.lit(0)),
+        lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b),
+    )
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
