@@ -22,6 +22,7 @@ COLUMNS = {
     "op5_substring_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
     "op7_simhash_groups": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
     "op9_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+    "op11_bpe": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     "op13_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint",
                   "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
     "op10_nearest": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},

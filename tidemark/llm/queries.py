@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, langid, packing, pfparse, quality, reputation, runs, secret_scan, simhash, toxicity
+from . import ann, bpe, decontaminate, langid, packing, pfparse, quality, reputation, runs, secret_scan, simhash, toxicity
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -239,3 +239,16 @@ def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lexicon = bpe.fit(docs)
+    coded = bpe.decode(bpe.encode(docs, lexicon, keep_text=False), lexicon)
+    return coded.select(
+        "doc_id",
+        F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
