@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, decontaminate, langid, packing, pfparse, quality, reputation, runs, secret_scan, simhash, toxicity
+from . import ann, bpe, decontaminate, langid, packing, pfparse, quality, reputation, runs, secret_scan, simhash, toxicity, trie
 from .common import fold, table
 
 QUERIES: dict = {}
@@ -252,3 +252,18 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def rebuilt(convs: DataFrame) -> DataFrame:
+    """Conversations (conv_id, turns) with their first turns exchanged for those of the one whose id ends their five."""
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    heads = convs.where("conv_id % 5 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("head"))
+    joined = convs.join(heads, F.expr("conv_id - conv_id % 5") == F.col("base"), "left")
+    head = F.coalesce(F.slice("head", 1, h), F.slice("turns", 1, 0))
+    own = F.slice("turns", h + 1, F.greatest(F.size("turns") - h, F.lit(0)))
+    return joined.select("conv_id", F.concat(head, own).alias("turns"))
+
+
+@query
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(rebuilt(trie.ordered_turns(table(spark, sf_dir, "conversations"))))
