@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import fragments as frag
-from catalog.adapter import MINUTES, RUN_TS, read, stg
+from catalog.adapter import MINUTES, RUN_TS, read, staged, stg
 from catalog.registry import fragment, query
 from tidemark.functions import ga4
 from tidemark.operators import backfill, ingest
@@ -18,8 +18,10 @@ from tidemark.plans.gold import run_gold
 from tidemark.plans.silver import run_silver
 from tidemark.session import scratch_dir
 from tidemark.sources import events as ev
+from tidemark.sources import lookups
 from tidemark.sources.warehouse import Warehouse
 from tidemark.streaming import jobs
+from tidemark.streaming import sessions as streamed
 
 OPTIONS = Options(session_minutes=MINUTES, high_value_threshold=frag.THRESHOLD)
 
@@ -177,6 +179,23 @@ def _(spark, sf):
     return spark.read.parquet(out).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
+@query("I3_pipeline_messages", "SELECT event_id, event_name, product_id, price, 1 AS staged FROM raw_good")
+def _(spark, sf):
+    """Every message is in two files; the stream is stopped between them and goes on from its checkpoint."""
+    folder, wh, mark = scratch_dir(spark, "messages"), Warehouse(spark, scratch_dir(spark, "wh")), scratch_dir(spark, "mark")
+    # The line is the body; its hash with its number among equal lines serves as the message's id.
+    lines = spark.read.text(raw_files(spark, sf)).groupBy("value").agg(F.count("*").cast("int").alias("n"))
+    numbered = lines.select("value", F.explode(F.sequence(F.lit(1), "n")).alias("n"))
+    envelope = F.to_json(F.struct(F.sha2(F.concat_ws(" ", "n", "value"), 256).alias("MessageId"), F.col("value").alias("Body")))
+    for part in (1, 2):
+        numbered.select(envelope.alias("value")).write.text(f"{folder}/part={part}")
+        stream = ev.stream_messages(spark, f"{folder}/part=*")
+        jobs.run_pipeline_stream(wh, stream, mark, OPTIONS, id_col="message_id")
+    staged = wh.table("stg_events").groupBy("event_id", "event_name", "product_id", "price").agg(F.count("*").cast("int").alias("staged"))
+    known = wh.table("fct_events").select("event_id").distinct()
+    return staged.join(known, "event_id", "left_semi")
+
+
 @query("I4_event_counts", "SELECT event_name, count(*) AS events FROM stg GROUP BY 1")
 def _(spark, sf):
     return ev.event_counts(stg(spark, sf))
@@ -338,21 +357,66 @@ def _(spark, sf):
     return backfill.backfill(good, ("product_category_1", "coupon"), dry_run=True)
 
 
-# Closed sessions: those whose gap ended before the last event, no lateness allowed for.
+def _event_parts(spark, sf, *parts):
+    """The staged events as a stream of several micro-batches: those each condition holds for, one after the other."""
+    rows = lookups.resolve_platform(staged(read(spark, sf, "events")), lookups.dim_platforms(spark))
+    folder = scratch_dir(spark, "parts")
+    for n, part in enumerate(parts):
+        rows.filter(part).coalesce(1).write.parquet(f"{folder}/part={n}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
+    return stream.drop("part")
+
+
+_STREAMED = """user_id, platform_id, session_start_ts, session_end_ts, CAST(events_in_session AS BIGINT) AS events_in_session,
+  CAST(views AS BIGINT) AS views, CAST(checkouts AS BIGINT) AS checkouts, CAST(purchases AS BIGINT) AS purchases"""
+
+# Three files in order of time; the watermark after the last is its greatest time less an hour.
 @query("E5_sessionize_stream", f"""
-SELECT user_id, platform_id, session_start_ts, session_end_ts, CAST(events_in_session AS BIGINT) AS events_in_session,
-  CAST(views AS BIGINT) AS views, CAST(checkouts AS BIGINT) AS checkouts, CAST(purchases AS BIGINT) AS purchases
-FROM usess WHERE session_end_ts + INTERVAL '{MINUTES} minutes' <=
-  (SELECT date_trunc('millisecond', max(event_timestamp)) FROM facts WHERE user_id IS NOT NULL AND platform_id IS NOT NULL)
+SELECT {_STREAMED}, session_end_ts + INTERVAL '{MINUTES} minutes' <
+    (SELECT max(event_timestamp) FROM facts WHERE user_id IS NOT NULL AND platform_id IS NOT NULL) - INTERVAL 1 hour AS is_closed
+FROM usess
 """)
 def _(spark, sf):
-    from catalog.adapter import staged
-    from tidemark.sources import lookups
+    ts = F.col("event_timestamp")
+    stream = _event_parts(spark, sf, ts < "2024-01-11", (ts >= "2024-01-11") & (ts < "2024-01-21"), ts >= "2024-01-21")
+    root, mark = scratch_dir(spark, "sessions"), scratch_dir(spark, "mark")
+    streamed.sessionize_stream(stream, root, mark, MINUTES, "1 hour")
+    closed = streamed.closed_sessions(spark, root).withColumn("is_closed", F.lit(True))
+    return closed.unionAll(streamed.open_sessions(spark, root, MINUTES).withColumn("is_closed", F.lit(False)))
+
+
+# A third of the events of the first weeks arrives after everything else: what lies behind the watermark is kept apart.
+fragment("in_time", """
+SELECT *, CAST(event_id AS BIGINT) % 3 = 0 AND event_timestamp < TIMESTAMP '2024-01-21' AS held_back,
+  max(event_timestamp) FILTER (user_id IS NOT NULL AND platform_id IS NOT NULL
+    AND NOT (CAST(event_id AS BIGINT) % 3 = 0 AND event_timestamp < TIMESTAMP '2024-01-21')) OVER () - INTERVAL 14 days AS watermark
+FROM facts
+""")
+fragment("in_time_usess", frag.sessions_sql(f"({frag.sessionized_sql('(SELECT * FROM in_time WHERE NOT held_back OR event_timestamp >= watermark)')})"))
+
 
-    stream = lookups.resolve_platform(staged(_event_stream(spark, sf)), lookups.dim_platforms(spark))
-    out, mark = scratch_dir(spark, "closed"), scratch_dir(spark, "mark")
-    jobs.write_available(jobs.sessionize_stream(stream, MINUTES, "0 seconds"), out, mark)
-    return spark.read.parquet(out)
+@query("E5_late_rows", f"""
+SELECT {_STREAMED}, CAST(NULL AS VARCHAR) AS event_id FROM in_time_usess
+UNION ALL
+SELECT user_id, platform_id, event_timestamp, event_timestamp, 1, CAST(event_name = 'view_item' AS BIGINT),
+  CAST(event_name = 'begin_checkout' AS BIGINT), CAST(event_name = 'purchase' AS BIGINT), event_id
+FROM in_time WHERE held_back AND event_timestamp < watermark AND user_id IS NOT NULL AND platform_id IS NOT NULL
+""")
+def _(spark, sf):
+    held_back = (F.col("event_id").cast("long") % 3 == 0) & (F.col("event_timestamp") < "2024-01-21")
+    stream = _event_parts(spark, sf, ~held_back, held_back)
+    root, mark = scratch_dir(spark, "sessions"), scratch_dir(spark, "mark")
+    streamed.sessionize_stream(stream, root, mark, MINUTES, "14 days")
+    sessions = streamed.closed_sessions(spark, root).unionAll(streamed.open_sessions(spark, root, MINUTES))
+    ts = F.col("event_timestamp")
+    ones = [F.lit(1).cast("long").alias("events_in_session")] + [
+        (F.col("event_name") == e).cast("long").alias(c)
+        for e, c in (("view_item", "views"), ("begin_checkout", "checkouts"), ("purchase", "purchases"))
+    ]
+    late = streamed.late_rows(spark, root, stream.schema).select(
+        "user_id", "platform_id", ts.alias("session_start_ts"), ts.alias("session_end_ts"), *ones, "event_id"
+    )
+    return sessions.withColumn("event_id", F.lit(None).cast("string")).unionByName(late)
 
 
 fragment("raw_facts", """

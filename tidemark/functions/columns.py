@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -75,3 +76,14 @@ def ntz(value) -> Column:
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
+def observed(seen: Observation, *names: str) -> dict:
+    """Counts that a finished write observed.
+
+    A part of the plan that Spark proved to be empty is dropped together with its counts; they are 0 then.
+    """
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        return dict.fromkeys(names, 0)

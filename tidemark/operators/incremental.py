@@ -73,14 +73,18 @@ def dedup_latest(df: DataFrame, key: str = "event_id", order: tuple = ("ingestio
     return newest_per_key(df, [key], list(order))
 
 
-def net_new(batch: DataFrame, facts: DataFrame) -> DataFrame:
+def net_new(batch: DataFrame, facts: DataFrame, days: list | None = None) -> DataFrame:
     """Batch rows whose event is not in the facts yet.
 
-    An event id covers the event time, so copies share the date: only fact partitions of the batch's
-    dates are read (at most one row per calendar day is broadcast).
+    An event id covers the event time, so copies share the date: only fact partitions of the batch's dates are read.
+    ``days`` names them; otherwise they are found from the batch (at most one row per calendar day is broadcast).
     """
-    dates = batch.select(F.to_date("event_timestamp").alias("date_id")).distinct()
-    known = facts.select("event_id", "date_id").join(F.broadcast(dates), "date_id", "left_semi")
+    known = facts.select("event_id", "date_id")
+    if days is None:
+        dates = batch.select(F.to_date("event_timestamp").alias("date_id")).distinct()
+        known = known.join(F.broadcast(dates), "date_id", "left_semi")
+    else:
+        known = known.filter(F.col("date_id").isin(days))
     return batch.join(known.select("event_id"), "event_id", "left_anti")
 
 

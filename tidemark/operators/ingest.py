@@ -40,11 +40,15 @@ def item_texts(items: Column) -> Column:
     return F.when(is_list, F.from_json(items, "array<string>")).otherwise(ga4.split_items(items))
 
 
-def explode_items(events: DataFrame, options: Options = Options()) -> DataFrame:
-    """One row per event and item with the parsed ``item``; events without items give no row."""
-    rows = events.withColumn("item_text", F.explode_outer(item_texts(F.col("items")))).filter(
-        F.col("item_text").isNotNull()
-    )
+def explode_items(events: DataFrame, options: Options = Options(), seen: Observation | None = None) -> DataFrame:
+    """One row per event and item with the parsed ``item``; events without items give no row.
+
+    ``seen`` gets how many events carry no item.
+    """
+    rows = events.withColumn("item_text", F.explode_outer(item_texts(F.col("items"))))
+    if seen:
+        rows = rows.observe(seen, F.count_if(F.col("item_text").isNull()).alias("events_without_items"))
+    rows = rows.filter(F.col("item_text").isNotNull())
     parsed = ga4.parse_items(rows, "item_text", options.item_params).withColumnRenamed("item", "text_item")
     listed = F.when(
         F.col("item_text").rlike(r'^\s*\{\s*"'), F.from_json(F.col("item_text"), _ITEM_STRUCT)
@@ -60,12 +64,14 @@ def _typed(name: str, kind: str) -> Column:
     return text.try_cast(kind)
 
 
-def flatten_events(events: DataFrame, run_ts, options: Options = Options()) -> DataFrame:
-    """One row per event and item; events without items give no row.
+def flatten_events(
+    events: DataFrame, run_ts, options: Options = Options(), seen: Observation | None = None
+) -> DataFrame:
+    """One row per event and item; events without items give no row (``seen`` gets their number).
 
     ``cast_errors`` names the numeric fields whose text does not fit the column.
     """
-    rows = explode_items(events.withColumn("micros", micros_of(F.col("event_timestamp"))), options)
+    rows = explode_items(events.withColumn("micros", micros_of(F.col("event_timestamp"))), options, seen)
     rows = pin(rows, "codes", ga4.split_discounts("item.discounts", options.experiment_pattern))
     stock = F.col("item.is_in_stock")
     columns = {

@@ -85,7 +85,7 @@ def sessionize(facts: DataFrame, minutes: int = 30, rows: DataFrame | None = Non
     return attach_sessions(facts if rows is None else rows, islands, minutes)
 
 
-def _counts() -> list:
+def event_counts() -> list:
     return [
         F.count(F.lit(1)).alias("events_in_session"),
         F.count_if(is_event("view_item")).alias("views"),
@@ -96,7 +96,7 @@ def _counts() -> list:
 
 def user_sessions(sessionized: DataFrame) -> DataFrame:
     """Sessions from labelled events."""
-    counts = [c.cast("int").alias(n) for c, n in zip(_counts(), COUNTS)]
+    counts = [c.cast("int").alias(n) for c, n in zip(event_counts(), COUNTS)]
     return (
         sessionized.groupBy(*SESSION)
         .agg(F.max("event_timestamp").alias("session_end_ts"), *counts)
@@ -172,7 +172,7 @@ def session_rollup(facts: DataFrame, minutes: int = 30, value_col: str = "price"
     cells = session_cells(
         facts,
         minutes,
-        *_counts(),
+        *event_counts(),
         F.sum(_line_value(value_col)).cast("decimal(18,2)").alias("cart_value"),
         F.collect_set(checkout_product).alias("cart_products"),
         F.max(campaign_mark()).alias("touch"),

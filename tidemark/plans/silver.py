@@ -11,10 +11,10 @@ from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ntz, time_bucket, utc_now
+from tidemark.functions.columns import ntz, observed, time_bucket, utc_now
 from tidemark.operators import attribution, facts, incremental, scd, sessions
 from tidemark.operators.incremental import Bounds
 from tidemark.options import Options
@@ -53,14 +53,16 @@ def run_silver(
 
     stored = wh.table("fct_events", done)
     batch_days = days_of(batch.select(F.to_date("event_timestamp").alias("day")))
-    known = stored.filter(F.col("date_id").isin(batch_days))
-    new = cut(wh, incremental.net_new(incremental.dedup_latest(batch), known), "net_new", seq)
-    new_rows = new.count()
-    batch_rows = batch.count()
-    if new_rows:
+    # Counted while the rows are written, without passes of their own.
+    read, kept = Observation("batch"), Observation("net_new")
+    counted = batch.observe(read, F.count(F.lit(1)).alias("current_batch_rows"))
+    fresh_rows = incremental.net_new(incremental.dedup_latest(counted), stored, batch_days)
+    new = cut(wh, fresh_rows.observe(kept, F.count(F.lit(1)).alias("net_new_rows")), "net_new", seq)
+    counts = observed(read, "current_batch_rows") | observed(kept, "net_new_rows")
+    if counts["net_new_rows"]:
         platforms = lookups.dim_platforms(wh.spark, options.platforms)
         fresh = facts.fct_events(new, platforms, run_ts)
-        *_, reach = together(
+        *_, (reach, lost) = together(
             wh.spark,
             lambda: _dimensions(wh, new, done, seq),
             lambda: wh.write_delta("fct_product_daily_performance", facts.product_daily(new), seq),
@@ -68,10 +70,13 @@ def run_silver(
             lambda: _sessions(wh, fresh, stored, options, run_ts, seq, reach),
         )
         wh.append_facts(fresh, seq)
-    row = incremental.advance(wh.spark, bounds, batch_rows, new_rows, run_ts, reach)
+        counts |= lost
+    row = incremental.advance(
+        wh.spark, bounds, counts["current_batch_rows"], counts["net_new_rows"], run_ts, reach
+    )
     wh.write_snapshot("etl_checkpoints", row, seq)
     wh.tidy(seq)
-    return {"run_seq": seq, "current_batch_rows": batch_rows, "net_new_rows": new_rows}
+    return {"run_seq": seq, **counts}
 
 
 def days_of(df: DataFrame) -> list:
@@ -138,17 +143,18 @@ def _dimensions(wh: Warehouse, new: DataFrame, done: int, seq: int) -> None:
 
 def _sessions(
     wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts, seq: int, reach: int
-) -> int:
+) -> tuple[int, dict]:
     """Recompute the sessions the batch reaches and replace the dates they lie on.
 
-    ``reach`` is the most days a stored session spans; returns the new value.
+    ``reach`` is the most days a stored session spans; returns the new value, and how many events have no session.
     """
     minutes = options.session_minutes
+    lost = sessions.unsessionable_count(fresh).first().asDict()
     span = sessions.sessionizable(fresh).agg(
         F.min("event_timestamp").alias("lo"), F.max("event_timestamp").alias("hi")
     ).first()
     if span["lo"] is None:
-        return reach
+        return reach, lost
     gap = timedelta(minutes=minutes)
     lo, hi = (ntz(t) for t in (span["lo"] - gap, span["hi"] + gap))
     near = wh.table("silver_user_sessions").filter(
@@ -190,7 +196,7 @@ def _sessions(
     together(wh.spark, *[partial(replace, name) for name in SESSION_TABLES[1:]])
     replace(SESSION_TABLES[0])
     longest = rollup.agg(F.max(F.datediff("session_end_ts", "session_start_ts"))).first()[0]
-    return max(reach, longest)
+    return max(reach, longest), lost
 
 
 def _events_of(affected: DataFrame, stored: DataFrame, fresh: DataFrame, minutes: int) -> DataFrame:

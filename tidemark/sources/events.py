@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.columns import pin
+from tidemark.sources.files import delete_matching
 
 EVENT_FIELDS = (
     "event_timestamp", "user_id", "event_name", "platform", "replay_timestamp", "items",
@@ -53,20 +56,49 @@ def stream_events(spark: SparkSession, path: str, max_files: int = 100) -> DataF
     )
 
 
+def stream_messages(
+    spark: SparkSession, path: str, id_field: str = "MessageId", body_field: str = "Body", max_files: int = 100
+) -> DataFrame:
+    """Lines of files of JSON envelopes: ``message_id`` and the event line in ``value``.
+
+    A line that is no envelope with both fields is passed on as it is under an id of its own, so it becomes a dead
+    letter instead of getting lost.
+    """
+    lines = stream_events(spark, path, max_files)
+    envelope = F.from_json("value", f"`{id_field}` string, `{body_field}` string")
+    parsed = pin(lines, "envelope", envelope)
+    whole = F.col(f"envelope.{id_field}").isNotNull() & F.col(f"envelope.{body_field}").isNotNull()
+    return parsed.select(
+        F.when(whole, F.col(f"envelope.{id_field}")).otherwise(F.expr("uuid()")).alias("message_id"),
+        F.when(whole, F.col(f"envelope.{body_field}")).otherwise(F.col("value")).alias("value"),
+        "filepath",
+    )
+
+
 def event_counts(events: DataFrame) -> DataFrame:
     name = F.coalesce("event_name", F.lit("unknown_event"))
     return events.groupBy(name.alias("event_name")).agg(F.count(F.lit(1)).alias("events"))
 
 
-def append_staging(df: DataFrame, path: str) -> None:
-    """Append in the fixed column order, by ingestion date so that a run reads only new days."""
+def append_staging(df: DataFrame, path: str, load: str | None = None) -> None:
+    """Append in the fixed column order, by ingestion date so that a run reads only new days.
+
+    Rows written under a ``load`` name replace those that an earlier attempt left under it, on whatever date.
+    """
+    if load:
+        delete_matching(df.sparkSession, f"{path}/ingestion_date=*/load={load}")
     (
-        df.select(*schemas.STG_EVENTS.names, F.to_date("ingestion_timestamp").alias("ingestion_date"))
+        df.select(
+            *schemas.STG_EVENTS.names,
+            F.to_date("ingestion_timestamp").alias("ingestion_date"),
+            F.lit(load or uuid.uuid4().hex).alias("load"),
+        )
         .write.mode("append")
-        .partitionBy("ingestion_date")
+        .partitionBy("ingestion_date", "load")
         .parquet(path)
     )
 
 
-def write_dead_letters(df: DataFrame, path: str) -> None:
-    df.write.mode("append").json(path)
+def write_dead_letters(df: DataFrame, path: str, load: str | None = None) -> None:
+    """Append letters; those of one ``load`` name replace each other."""
+    df.write.mode("overwrite").json(f"{path}/load={load or uuid.uuid4().hex}")

@@ -1,15 +1,18 @@
-"""Structured Streaming jobs."""
+"""Structured Streaming jobs.
+
+What a micro-batch writes is named after the stream and the batch, so a batch that is played again after a failure
+replaces what its first attempt left behind.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import utc_now
+from tidemark.functions.columns import observed, utc_now
 from tidemark.operators import ingest
-from tidemark.operators.sessions import ACTOR
 from tidemark.options import Options
 from tidemark.plans.silver import cut, run_silver
 from tidemark.sources.events import append_staging, parse_lines, split_parsed, write_dead_letters
@@ -25,42 +28,6 @@ def dedup_messages(stream: DataFrame, id_col: str, ttl: str = "14 days") -> Data
     return arrived.dropDuplicatesWithinWatermark([id_col]).drop("_arrived")
 
 
-def sessionize_stream(stream: DataFrame, minutes: int = 30, watermark: str = "1 hour") -> DataFrame:
-    """Closed sessions as they become final, by the same gap rule as the batch job.
-
-    Sessions are merged inside map tasks before the shuffle (see ``session.DEFAULTS``), so a busy user's
-    events arrive at the state store as a few partial sessions per batch.
-    """
-    timed = (
-        stream.filter(F.col("user_id").isNotNull() & F.col("platform_id").isNotNull())
-        .withColumn("event_time", F.col("event_timestamp").cast("timestamp"))
-        .withWatermark("event_time", watermark)
-    )
-
-    def count(name):
-        return F.count_if(F.col("event_name") == name)
-
-    gap = F.expr(f"interval {minutes} minutes")
-    return (
-        timed.groupBy(F.session_window("event_time", f"{minutes} minutes").alias("w"), *ACTOR)
-        .agg(
-            F.count(F.lit(1)).alias("events_in_session"),
-            count("view_item").alias("views"),
-            count("begin_checkout").alias("checkouts"),
-            count("purchase").alias("purchases"),
-        )
-        .select(
-            *ACTOR,
-            F.col("w.start").cast("timestamp_ntz").alias("session_start_ts"),
-            (F.col("w.end") - gap).cast("timestamp_ntz").alias("session_end_ts"),
-            "events_in_session",
-            "views",
-            "checkouts",
-            "purchases",
-        )
-    )
-
-
 def write_available(df: DataFrame, path: str, checkpoint: str) -> None:
     """Run a stream over everything available now into parquet files, then stop."""
     query = (
@@ -74,32 +41,69 @@ def write_available(df: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def drain(stream: DataFrame, step, checkpoint: str) -> None:
+    """Call ``step(batch, batch_id)`` for every micro-batch until the input is drained."""
+    query = (
+        stream.writeStream.foreachBatch(lambda df, n: step(df, n) and None)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def stream_id(spark, checkpoint: str) -> str:
+    """The id that Spark gave the stream of this checkpoint."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
 def ingest_batch(
-    wh: Warehouse, lines: DataFrame, options: Options = Options(), run_ts: datetime | None = None
+    wh: Warehouse,
+    lines: DataFrame,
+    options: Options = Options(),
+    run_ts: datetime | None = None,
+    load: str | None = None,
 ) -> dict:
-    """Lines of one micro-batch to staging, dead letters and silver."""
+    """Lines of one micro-batch to staging, dead letters and silver; returns every count of the way.
+
+    The lines are read and parsed once. ``load`` names the batch: a second attempt under the same name leaves staging
+    and dead letters as one would, and its rows are no net-new facts if the first one committed them. A batch without
+    lines starts no run.
+    """
     run_ts = run_ts or utc_now()
-    parsed, seen = ingest.observe_parse(parse_lines(lines))
-    events, _ = split_parsed(parsed)
-    _, dead = split_parsed(parse_lines(lines))
-    flat = cut(wh, ingest.flatten_events(events, run_ts, options), "flat", wh.committed() + 1)
+    seq = wh.committed() + 1
+    parsed, lines_seen = ingest.observe_parse(parse_lines(lines))
+    parsed = cut(wh, parsed, "parsed", seq)
+    counts = observed(lines_seen, "lines", "parsed_ok", "parse_dead")
+    if not counts["lines"]:
+        return counts
+    events, dead = split_parsed(parsed)
+    items_seen, good_seen, bad_seen = Observation("items"), Observation("good"), Observation("bad")
+    flat = cut(wh, ingest.flatten_events(events, run_ts, options, items_seen), "flat", seq)
     good, bad = ingest.validate(flat, options.required_fields)
-    append_staging(good, wh.path("stg_events"))
-    write_dead_letters(dead.unionByName(bad), wh.path("dead_letters"))
-    return {**seen.get, **run_silver(wh, options, batch=good, run_ts=run_ts)}
+    rows = F.count(F.lit(1))
+    append_staging(good.observe(good_seen, rows.alias("staged_rows")), wh.path("stg_events"), load)
+    letters = dead.unionByName(bad.observe(bad_seen, rows.alias("invalid_rows")))
+    write_dead_letters(letters, wh.path("dead_letters"), load)
+    counts |= observed(items_seen, "events_without_items")
+    counts |= observed(good_seen, "staged_rows") | observed(bad_seen, "invalid_rows")
+    return {**counts, **run_silver(wh, options, batch=good, run_ts=run_ts)}
 
 
 def run_pipeline_stream(
-    wh: Warehouse, lines: DataFrame, checkpoint: str, options: Options = Options()
-) -> None:
-    """Raw line stream to silver, one silver run per micro-batch, until the input is drained.
+    wh: Warehouse, lines: DataFrame, checkpoint: str, options: Options = Options(), id_col: str | None = None
+) -> list[dict]:
+    """Raw line stream to silver, one silver run per micro-batch, until the input is drained; the counts of each run.
 
-    A replayed micro-batch stages duplicates, which the anti-join against the facts drops.
+    With ``id_col`` a message whose id arrived within ``options.message_ttl`` is dropped before it is staged, across
+    restarts of the stream.
     """
-    query = (
-        lines.writeStream.foreachBatch(lambda df, _: ingest_batch(wh, df, options) and None)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    if id_col:
+        lines = dedup_messages(lines, id_col, options.message_ttl)
+    counts: list[dict] = []
+
+    def step(df: DataFrame, n: int) -> None:
+        counts.append(ingest_batch(wh, df, options, load=f"{stream_id(wh.spark, checkpoint)}-{n}"))
+
+    drain(lines, step, checkpoint)
+    return counts
