@@ -58,7 +58,7 @@ def main(argv):
     sf = "/root/testdata/sf0.01"
     spark = get_spark("parity", **{
         "spark.master": "local[8]", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
-        "spark.ui.enabled": "false",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, failed = connect(sf), entry.oracle_sql(), 0

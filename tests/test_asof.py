@@ -1,4 +1,4 @@
-"""As-of lookup against brute force, on the usual and on the hot path."""
+"""As-of lookup against brute force."""
 
 import random
 from datetime import timedelta
@@ -45,11 +45,11 @@ def brute(left, right, direction, tolerance):
 
 @pytest.mark.parametrize("direction", ["backward", "forward"])
 @pytest.mark.parametrize("tolerance", [None, timedelta(hours=3)])
-@pytest.mark.parametrize("hot_rows", [10**6, 3, 0])
-def test_asof_equals_brute_force(spark, direction, tolerance, hot_rows):
+@pytest.mark.parametrize("bucket_seconds", [86400, 3600])
+def test_asof_equals_brute_force(spark, direction, tolerance, bucket_seconds):
     left, right, ldf, rdf = sides(spark)
     got = asof_join(
-        ldf, rdf, "t", ["who"], direction, tolerance and "3 hours", tiebreak=("rk",), hot_rows=hot_rows
+        ldf, rdf, "t", ["who"], direction, tolerance and "3 hours", tiebreak=("rk",), bucket_seconds=bucket_seconds
     )
     rows = [str((r.k, r.who, r.t, r.matched and r.matched.rk, r.matched and r.matched.matched_on)) for r in got.collect()]
     assert sorted(rows) == brute(left, right, direction, tolerance)
@@ -82,18 +82,26 @@ def random_facts(spark, seed):
     return facts_of(spark, rows)
 
 
-@pytest.mark.parametrize("minutes", [5, 60])
-def test_hot_path_equals_usual_path(spark, minutes):
-    facts = random_facts(spark, minutes)
-    cols = ("event_id", "session_id", "item_list_id", "impression_ts_chosen")
-    usual = content(attribution.last_touch(facts, minutes), *cols)
-    assert content(attribution.last_touch(facts, minutes, hot_rows=10), *cols) == usual
-    assert content(attribution.last_touch(facts, minutes, hot_rows=0), *cols) == usual
+def test_rows_without_key_or_time_match_nothing(spark):
+    schema = "k string, who string, t timestamp_ntz"
+    left = spark.createDataFrame([("a", None, BASE), ("b", "u", None), ("c", None, None), ("d", "u", BASE)], schema)
+    right = spark.createDataFrame([("x", None, BASE), ("y", "u", None), ("z", "u", BASE)], schema.replace("k ", "rk "))
+    got = {r.k: r.matched and r.matched.rk for r in asof_join(left, right, "t", ["who"]).collect()}
+    assert got == {"a": None, "b": None, "c": None, "d": "z"}
+
+
+def test_one_actor_at_one_moment_is_spread_over_tasks(spark):
+    """All rows of one actor, most at one time: rows meet their time on equality, not in a window."""
+    n = 20_000
+    left = spark.range(n).selectExpr("id", "'u' AS who", "timestamp_ntz'2025-01-01 10:00:00' AS t")
+    right = spark.range(n).selectExpr("'u' AS who", "timestamp_ntz'2025-01-01 09:00:00' AS t", "id AS rid")
+    got = asof_join(left, right, "t", ["who"], tiebreak=("rid",))
+    assert got.filter(f"matched.rid = {n - 1}").count() == n
 
 
-def test_last_touch_equals_brute_force(spark):
-    minutes = 20
-    facts = random_facts(spark, 9)
+@pytest.mark.parametrize("minutes", [5, 20, 60])
+def test_last_touch_equals_brute_force(spark, minutes):
+    facts = random_facts(spark, minutes)
     labelled = [r.asDict() for r in sessions.sessionize(facts, minutes).collect()]
     expected = {}
     for r in labelled:
@@ -121,3 +129,16 @@ def test_campaign_touch_ties_and_paths_agree(spark):
     assert [(r.campaign_id, r.last_touch_ts) for r in from_rows.collect()] == [("B", BASE + timedelta(minutes=5))]
     rolled = attribution.rollup_campaign_touch(sessions.session_rollup(facts, 30))
     assert content(rolled, *from_rows.columns) == content(from_rows)
+
+
+def test_a_session_of_many_cells_lists_each_product_once(spark):
+    """A checkout every minute for 3,000 minutes, of three products and without one."""
+    rows = [event(f"e{i}", "begin_checkout", i, "u", product=(None, "P1", "P2", "P3")[i % 4], quantity=2) for i in range(3000)]
+    rows += [event(f"x{i}", "view_item", i, "v") for i in (0, 5, 100)]
+    facts = facts_of(spark, rows)
+    rolled = {r.user_id: r for r in sessions.session_rollup(facts, 30).collect() if r.views != 1}
+    assert (rolled["u"].cart_products, rolled["u"].events_in_session, rolled["u"].cart_value) == (["P1", "P2", "P3"], 3000, 600_000)
+    assert (rolled["v"].cart_products, rolled["v"].views) == (None, 2)
+    labelled = sessions.user_sessions(sessions.sessionize(facts, 30))
+    joined = sessions.session_features(labelled, sessions.cart_metrics(labelled, facts, 30))
+    assert content(sessions.rollup_features(sessions.session_rollup(facts, 30))) == content(joined)

@@ -158,3 +158,34 @@ def test_upserts(spark):
     added = upsert.upsert_additive(target, updates, ["k"], sums=["n"], maxs=["m"])
     assert content(added) == sorted(["('a', 1, 5)", "('b', 12, 6)", "('c', 20, 9)"])
     assert content(upsert.append_new(target, updates, ["k"])) == ["('c', 20, 9)"]
+
+
+def test_many_versions_and_days_of_one_key_are_swept(spark):
+    """3,000 versions x 3,000 days of each key: settled by one line per key, without a range join."""
+    keys = spark.range(40).selectExpr("cast(id as string) AS k")
+    each = keys.selectExpr("k", "explode(sequence(0, 2999)) AS n")
+    starts = each.selectExpr("k", "n AS v", "date_add(date'2000-01-01', n * 2) AS effective_start_date")
+    dim = scd.close_intervals(starts, "k")
+    days = each.selectExpr("k", "n", "date_add(date'2000-01-01', n * 2 + n % 2 - 1) AS day")
+    joined = scd.as_of_join(days, dim, "k", "day", "left")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "<=" not in plan
+    # Even days fall a day before their own version's start, odd ones on it; the first lies before all versions.
+    assert joined.filter("v IS NULL").count() == 40
+    assert joined.filter("v IS NOT NULL AND v <> n - 1 + n % 2").count() == 0
+
+
+def test_versions_on_odd_rows(spark):
+    dim = spark.createDataFrame(
+        [("a", 1, d(0), d(2)), ("a", 2, d(4), None), (None, 3, d(0), None), ("b", 4, None, None)],
+        "k string, v int, effective_start_date date, effective_end_date date",
+    )
+    days = spark.createDataFrame(
+        [("a", d(-1)), ("a", d(0)), ("a", d(0)), ("a", d(2)), ("a", d(4)), ("a", None), (None, d(1)), ("b", d(1)), ("c", d(1))],
+        "k string, day date",
+    )
+    assert content(scd.as_of_join(days, dim, "k", "day"), "k", "day", "v") == sorted(
+        str(r) for r in [("a", d(0), 1), ("a", d(0), 1), ("a", d(4), 2)]
+    )
+    assert scd.as_of_join(days, dim, "k", "day", "left").count() == 9
+    assert scd.versions_on(days.limit(0), dim, "k", "day").count() == 0

@@ -1,16 +1,15 @@
 """As-of lookup that stays balanced when one key holds a large share of the rows.
 
-Rows carry a nullable ``mark`` (a struct whose first field is the time of the mark). For every row we
-want the greatest mark of the same group with time <= the row's time; equal times count.
-
-One window per group would put a busy group into one task. Instead time is cut into buckets:
-
-1. ``bucket_table``: per (group, bucket) the greatest mark and the row count; combined map-side.
-2. ``with_carry``: per group a window over *buckets* (bounded by the time span over the bucket width)
-   hands each bucket the greatest mark of all earlier ones.
-3. ``latest_mark``: inside a bucket a window over its rows. A bucket with more than ``hot_rows`` rows
-   is first reduced to its distinct timestamps and walked second by second, so that no window ever
-   holds more than ``hot_rows`` rows or one second of distinct microseconds.
+Rows carry a nullable ``mark`` (a struct whose first field is the time of the mark). For every row we want the greatest
+mark of the same group with time <= the row's time; equal times count. Time is cut into buckets, and there is one path
+for all rows, however they are distributed:
+
+1. ``points``: rows collapse map-side to one per (group, bucket, distinct time) with its greatest mark.
+2. ``buckets``: points collapse to buckets; a window over a group's buckets (bounded by the time span over the bucket
+   width) carries the greatest mark of all earlier buckets on.
+3. ``resolved``: a running maximum over the distinct times of one bucket, on top of what was carried. It keeps one mark
+   and streams over points that are sorted on disk, so its memory does not grow with the bucket.
+4. Rows meet the points on equality of (group, bucket, time), which spreads any group and any bucket over many tasks.
 """
 
 from __future__ import annotations
@@ -20,63 +19,29 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import time_bucket
 
-HOT_ROWS = 4_000_000
+
+def points(rows: DataFrame, by: list, ts: str) -> DataFrame:
+    """One row per distinct time with its greatest mark."""
+    return rows.groupBy(*by, "bucket", ts).agg(F.max("mark").alias("point_mark"))
 
 
-def bucket_table(rows: DataFrame, by: list, ts: str, *extra) -> DataFrame:
-    return rows.groupBy(*by, "bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.max("mark").alias("bucket_mark"), *extra
-    )
+def buckets(found: DataFrame, by: list, *extra) -> DataFrame:
+    return found.groupBy(*by, "bucket").agg(F.max("point_mark").alias("bucket_mark"), *extra)
 
 
-def with_carry(buckets: DataFrame, by: list) -> DataFrame:
+def with_carry(found: DataFrame, by: list) -> DataFrame:
+    """Buckets with ``carry``, the greatest mark of all earlier ones of the group."""
     earlier = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return buckets.withColumn("carry", F.max("bucket_mark").over(earlier))
+    return found.withColumn("carry", F.max("bucket_mark").over(earlier))
 
 
-def latest_mark(rows, buckets, by: list, ts: str, keep=(), hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``rows`` plus ``latest`` and the ``keep`` columns of ``buckets`` (which has carry and n)."""
+def resolved(found: DataFrame, carried: DataFrame, by: list, ts: str, keep=()) -> DataFrame:
+    """Points with ``latest``, the greatest mark up to their time, and the ``keep`` columns of their bucket."""
     keys = [*by, "bucket"]
-    # At most total_rows / hot_rows keys, so the broadcast is bounded.
-    hot = F.broadcast(
-        rows.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
-    )
-    info = buckets.select(*keys, "carry", *keep)
-
-    inside = Window.partitionBy(*keys).orderBy(ts).rangeBetween(Window.unboundedPreceding, 0)
-    usual = (
-        rows.join(hot, keys, "left_anti")
-        .join(info, keys)
-        .withColumn("latest", F.coalesce(F.max("mark").over(inside), "carry"))
-    )
-    busy = _busy(rows.join(hot, keys, "left_semi"), info.join(hot, keys, "left_semi"), keys, ts)
-    columns = [*rows.columns, *keep, "latest"]
-    return usual.select(*columns).unionByName(busy.select(*columns))
-
-
-def _busy(rows: DataFrame, info: DataFrame, keys: list, ts: str) -> DataFrame:
-    """Hot buckets: distinct timestamps, then seconds, then the rows are joined back."""
-    points = (
-        rows.groupBy(*keys, ts)
-        .agg(F.max("mark").alias("point_mark"))
-        .withColumn("second", F.date_trunc("second", F.col(ts).cast("timestamp")))
-    )
-    upto = Window.partitionBy(*keys, "second").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("second").rowsBetween(Window.unboundedPreceding, -1)
-    seconds = (
-        points.groupBy(*keys, "second")
-        .agg(F.max("point_mark").alias("second_mark"))
-        .withColumn("second_carry", F.max("second_mark").over(before))
-        .select(*keys, "second", "second_carry")
-    )
-    resolved = (
-        points.withColumn("upto", F.max("point_mark").over(upto))
-        .join(seconds, [*keys, "second"])
-        .join(info, keys)
-        .withColumn("latest", F.coalesce("upto", "second_carry", "carry"))
-        .drop("point_mark", "second", "second_carry", "upto", "carry")
-    )
-    return rows.join(resolved, [*keys, ts])
+    upto = Window.partitionBy(*keys).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    latest = F.coalesce(F.max("point_mark").over(upto), F.col("carry"))
+    known = found.join(carried.select(*keys, "carry", *keep), keys)
+    return known.withColumn("latest", latest).select(*keys, ts, *keep, "latest")
 
 
 def asof_join(
@@ -88,7 +53,6 @@ def asof_join(
     tolerance: str | None = None,
     tiebreak: tuple = (),
     bucket_seconds: int = 86400,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left rows with the nearest right row of the same ``by`` keys at or before (after) ``on``.
 
@@ -99,33 +63,24 @@ def asof_join(
     if direction not in ("backward", "forward"):
         raise ValueError(f"unknown direction: {direction}")
     payload = [c for c in right.columns if c not in (on, *by, *tiebreak)]
-    right_cols = [F.col(c).alias(c) for c in (*tiebreak, *payload)]
     # The forward join is the backward join on mirrored time.
     origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     clock = F.col(on) if direction == "backward" else origin - (F.col(on) - origin)
-    present = F.lit(True)
+    present = F.col(on).isNotNull()
     for k in by:
         present = present & F.col(k).isNotNull()
-    mark = F.struct(clock.alias("clock"), *right_cols, F.col(on).alias("matched_on"))
-    probes = left.select(
-        *by, clock.alias("clock"), F.struct(*left.columns).alias("row")
-    ).withColumn("mark", F.lit(None))
-    marks = right.filter(present & F.col(on).isNotNull()).select(
-        *by, clock.alias("clock"), mark.alias("mark")
-    )
-    rows = probes.unionByName(marks, allowMissingColumns=True).withColumn(
-        "bucket", time_bucket("clock", bucket_seconds)
-    )
-    matchable = rows.filter(present & F.col("clock").isNotNull())
-    buckets = with_carry(bucket_table(matchable, by, "clock"), by)
-    found = latest_mark(matchable, buckets, by, "clock", hot_rows=hot_rows)
-    found = found.filter(F.col("row").isNotNull())
-    unmatched = rows.filter(~(present & F.col("clock").isNotNull()) & F.col("row").isNotNull())
-    found = found.unionByName(unmatched, allowMissingColumns=True)
+    mark = F.struct(clock.alias("clock"), *[F.col(c) for c in (*tiebreak, *payload)], F.col(on).alias("matched_on"))
+    bucket = time_bucket("clock", bucket_seconds).alias("bucket")
+    probes = left.select(*by, clock.alias("clock"), F.struct(*left.columns).alias("row")).select("*", bucket)
+    marks = right.filter(present).select(*by, clock.alias("clock"), mark.alias("mark")).select("*", bucket)
+    asked = left.filter(present).select(*by, clock.alias("clock"), F.lit(None).alias("mark")).select("*", bucket)
+    found = points(marks.unionByName(asked), by, "clock")
+    latest_of = resolved(found, with_carry(buckets(found, by), by), by, "clock")
+    joined = probes.join(latest_of, [*by, "bucket", "clock"], "left")
     latest = F.col("latest").dropFields("clock")
     if tolerance:
         distance = F.col(f"row.{on}") - F.col("latest.matched_on")
         if direction == "forward":
             distance = -distance
         latest = F.when(distance <= F.expr(f"interval {tolerance}"), latest)
-    return found.select("row.*", latest.alias("matched"))
+    return joined.select("row.*", latest.alias("matched"))

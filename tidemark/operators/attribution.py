@@ -13,7 +13,6 @@ from tidemark.operators.sessions import (
     SESSION,
     campaign_mark,
     name_sessions,
-    session_cells,
     session_islands,
     sessionizable,
     with_cell,
@@ -39,33 +38,27 @@ def impression_mark():
     )
 
 
-def last_touch(facts: DataFrame, minutes: int = 30, hot_rows: int = asof.HOT_ROWS) -> DataFrame:
+def last_touch(facts: DataFrame, minutes: int = 30) -> DataFrame:
     """Actionable events with session, ``item_list_id`` (NULL if none) and ``impression_ts_chosen``.
 
-    The session cells double as as-of buckets: one pass finds session starts and carries the last list
-    view from cell to cell, then event rows move once, to their cell. A list view at or after the session
-    start belongs to the session.
+    The session cells double as as-of buckets: one pass over the distinct times of the facts finds session starts and
+    carries the last list view from cell to cell; then the actionable rows alone move, to their time. A list view at or
+    after the session start belongs to the session.
     """
-    marked = facts.withColumn("mark", impression_mark())
-    cells = session_cells(marked, minutes, F.max("mark").alias("bucket_mark"))
-    islands = asof.with_carry(
-        session_islands(cells, minutes).withColumnRenamed("cell", "bucket"), ACTOR
-    )
-    rows = with_cell(
-        sessionizable(marked).filter(
-            F.col("event_name").isin(*ACTIONABLE) | F.col("mark").isNotNull()
-        ),
-        minutes,
-    ).withColumnRenamed("cell", "bucket").withColumnRenamed("item_list_id", "own_list_id")
-    found = asof.latest_mark(
-        rows, islands, ACTOR, "event_timestamp", keep=["session_start_ts"], hot_rows=hot_rows
+    rows = with_cell(sessionizable(facts), minutes).withColumnRenamed("cell", "bucket")
+    times = asof.points(rows.withColumn("mark", impression_mark()), ACTOR, "event_timestamp")
+    ends = F.min("event_timestamp").alias("cell_start"), F.max("event_timestamp").alias("cell_end")
+    cells = asof.buckets(times, ACTOR, *ends).withColumnRenamed("bucket", "cell")
+    islands = session_islands(cells, minutes).withColumnRenamed("cell", "bucket")
+    latest_of = asof.resolved(
+        times, asof.with_carry(islands, ACTOR), ACTOR, "event_timestamp", keep=["session_start_ts"]
     )
+    found = actionable(rows).drop("item_list_id").join(latest_of, [*ACTOR, "bucket", "event_timestamp"])
     in_session = F.col("latest.ts") >= F.col("session_start_ts")
     return name_sessions(
-        actionable(found)
-        .withColumn("item_list_id", F.when(in_session, F.col("latest.item_list_id")))
+        found.withColumn("item_list_id", F.when(in_session, F.col("latest.item_list_id")))
         .withColumn("impression_ts_chosen", F.when(in_session, F.col("latest.ts")))
-        .drop("bucket", "mark", "latest", "own_list_id")
+        .drop("bucket", "latest")
     )
 
 

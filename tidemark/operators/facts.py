@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions.columns import date_key, is_event, ntz
-from tidemark.operators.scd import campaign_rows, conform, covers
+from tidemark.operators.scd import END, START, as_of_join, campaign_rows, conform
 from tidemark.sources.lookups import resolve_platform
 
 PURCHASE_COLUMNS = [
@@ -87,18 +87,9 @@ def priced_campaigns(days: DataFrame, dim_campaigns: DataFrame, dim_products: Da
     The price is that of the version valid on the day, as the dimensions know it now, so late events and late
     snapshots give what one run over everything gives.
     """
-    campaigns = dim_campaigns.select(
-        F.col("campaign_id").alias("dim_campaign"), "effective_start_date", "effective_end_date"
-    )
-    products = dim_products.select(
-        F.col("product_id").alias("dim_product"), "price", "effective_start_date", "effective_end_date"
-    )
-    in_campaign = days.join(
-        campaigns, (F.col("campaign_id") == F.col("dim_campaign")) & covers(F.col("day"))
-    ).drop("effective_start_date", "effective_end_date", "dim_campaign")
-    priced = in_campaign.join(
-        products, (F.col("product_id") == F.col("dim_product")) & covers(F.col("day"))
-    )
+    validity = [START, END]
+    in_campaign = as_of_join(days, dim_campaigns.select("campaign_id", *validity), "campaign_id", "day").drop(*validity)
+    priced = as_of_join(in_campaign, dim_products.select("product_id", "price", *validity), "product_id", "day")
     counters = ["total_events", "views", "checkouts", "purchases"]
     return (
         priced.groupBy("product_id", "campaign_id", "price", "discount_value")

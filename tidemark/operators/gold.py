@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_event, rate
-from tidemark.operators.scd import active, covers
+from tidemark.operators.scd import END, START, active, as_of_join, covers
 from tidemark.operators.sessions import ACTOR, SESSION
 
 SEGMENTS = {
@@ -159,12 +159,8 @@ def finance_daily(purchases: DataFrame, dim_users: DataFrame) -> DataFrame:
         total("installment_price").alias("total_installment_value"),
     )
     segments = ["region", "customer_segment", "risk_segment"]
-    users = dim_users.select(
-        F.col("user_id").alias("dim_user"), *segments, "effective_start_date", "effective_end_date"
-    )
-    joined = per_user.join(
-        users, (F.col("user_id") == F.col("dim_user")) & covers(F.col("event_date"))
-    )
+    users = dim_users.select("user_id", *segments, START, END)
+    joined = as_of_join(per_user, users, "user_id", "event_date")
     money = ["total_original_price", "total_revenue", "total_discount_value", "total_installment_value"]
     out = joined.groupBy("event_date", *segments).agg(
         F.sum("purchases").alias("purchases"),

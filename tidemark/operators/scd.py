@@ -75,19 +75,33 @@ def scd2_merge(dim: DataFrame, changes: DataFrame, nk: str, attrs: list) -> Data
     return close_intervals(merged.drop("prio"), nk).select(*dim.columns)
 
 
+def versions_on(days: DataFrame, dim: DataFrame, nk: str, date: str) -> DataFrame:
+    """Distinct (key, day) pairs with the dimension version valid on the day; days without one are left out.
+
+    Versions and days lie on one line per key and the last version is carried forward, so the work is linear in both.
+    A line holds at most two rows per calendar day.
+    """
+    version = F.struct(*[c for c in dim.columns if c != nk])
+    starts = dim.filter(F.col(nk).isNotNull() & F.col(START).isNotNull()).select(
+        nk, F.col(START).alias(date), version.alias("version")
+    )
+    asked = days.filter(F.col(nk).isNotNull() & F.col(date).isNotNull()).select(nk, date).distinct()
+    line = starts.unionByName(asked.withColumn("version", F.lit(None)))
+    order = Window.partitionBy(nk).orderBy(date, F.col("version").isNull())
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    carried = line.withColumn("valid", F.last("version", ignorenulls=True).over(upto))
+    valid = carried.filter(F.col("version").isNull() & F.col("valid").isNotNull())
+    ended = F.col(f"valid.{END}")
+    return valid.filter(ended.isNull() | (F.col(date) < ended)).select(nk, date, "valid.*")
+
+
 def as_of_join(facts: DataFrame, dim: DataFrame, nk: str, date: str, how: str = "inner") -> DataFrame:
     """Facts with the dimension version valid on their date.
 
-    The range is settled once per distinct (key, day); fact rows then meet it on equality, so a busy key
-    costs no version scan per row.
+    The version is settled once per distinct (key, day); fact rows then meet it on equality, so a busy key
+    costs no version scan per row. Versions of one key do not overlap.
     """
-    days = facts.select(nk, date).distinct()
-    versions = dim.filter(F.col(nk).isNotNull()).withColumnRenamed(nk, "version_key")
-    valid = days.join(
-        versions,
-        (F.col(nk) == F.col("version_key")) & covers(F.col(date)),
-    ).drop("version_key")
-    return facts.join(valid, [nk, date], how)
+    return facts.join(versions_on(facts, dim, nk, date), [nk, date], how)
 
 
 def covers(day: Column, prefix: str = "") -> Column:

@@ -167,7 +167,11 @@ def session_features(sessions: DataFrame, cart: DataFrame, threshold: float = 50
 
 
 def session_rollup(facts: DataFrame, minutes: int = 30, value_col: str = "price") -> DataFrame:
-    """Counts, bounds, cart and last campaign of every session in one pass over the facts."""
+    """Counts, bounds, cart and last campaign of every session in one pass over the facts.
+
+    Cells are spread over their cart products and collapse to (session, product) before a session's list is made: no
+    list holds a product twice, however many cells a session has. A cell's measures go with its first product.
+    """
     checkout_product = F.when(is_event("begin_checkout"), F.col("product_id"))
     cells = session_cells(
         facts,
@@ -177,18 +181,21 @@ def session_rollup(facts: DataFrame, minutes: int = 30, value_col: str = "price"
         F.collect_set(checkout_product).alias("cart_products"),
         F.max(campaign_mark()).alias("touch"),
     )
-    checkouts = F.count_if(F.col("checkouts") > 0)
-    products = F.sort_array(F.array_distinct(F.flatten(F.collect_set("cart_products"))))
-    return (
-        session_islands(cells, minutes)
-        .groupBy(*SESSION)
-        .agg(
-            F.max("cell_end").alias("session_end_ts"),
-            *[F.sum(c).alias(c) for c in COUNTS],
-            F.sum("cart_value").cast("decimal(18,2)").alias("cart_value"),
-            F.when(checkouts > 0, products).alias("cart_products"),
-            F.max("touch").alias("touch"),
-        )
+    spread = session_islands(cells, minutes).select("*", F.posexplode_outer("cart_products").alias("nth", "product"))
+    once = F.coalesce("nth", F.lit(0)) == 0
+    measures = [*COUNTS, "cart_value"]
+    by_product = spread.groupBy(*SESSION, "product").agg(
+        F.max("cell_end").alias("session_end_ts"),
+        *[F.sum(F.when(once, F.col(c))).alias(c) for c in measures],
+        F.max("touch").alias("touch"),
+    )
+    products = F.sort_array(F.collect_list("product"))
+    return by_product.groupBy(*SESSION).agg(
+        F.max("session_end_ts").alias("session_end_ts"),
+        *[F.sum(c).alias(c) for c in COUNTS],
+        F.sum("cart_value").cast("decimal(18,2)").alias("cart_value"),
+        F.when(F.sum("checkouts") > 0, products).alias("cart_products"),
+        F.max("touch").alias("touch"),
     )
 
 
