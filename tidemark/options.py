@@ -38,6 +38,8 @@ PLATFORMS = ((1, "IOS"), (2, "ANDROID"))
 class Options:
     session_minutes: int = 30
     high_value_threshold: float = 500
+    # What a cart line is worth: "price" in the shop's currency, or "price_in_usd".
+    cart_value_column: str = "price"
     required_fields: tuple = ("event_id", "event_name", "event_timestamp")
     item_params: dict = field(default_factory=lambda: dict(ITEM_PARAMS))
     # Codes containing this text are experiment variants, all others are campaigns.

@@ -7,7 +7,7 @@ sequence number; the checkpoint comes last. A run that dies anywhere is simply r
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timedelta
+from datetime import datetime
 from functools import partial
 
 from pyspark import inheritable_thread_target
@@ -45,18 +45,20 @@ def run_silver(
     last = Bounds(mark["hwm_ts"], mark["hwm_event_id"]) if mark else Bounds()
     reach = mark["max_session_days"] if mark else 0
     if batch is None:
-        recent = _since(wh.table("stg_events"), last)
+        # Only ingestion days from the last mark on are listed and read.
+        since = wh.dates_since("stg_events", "ingestion_date", last.last_ts and last.last_ts.date())
+        recent = wh.table("stg_events", dates=since)
         bounds = incremental.fetch_bounds(incremental.hwm_bounds(recent, checkpoint))
         batch = incremental.current_batch(recent, bounds)
     else:
         bounds = _later(last, incremental.fetch_bounds(incremental.hwm_bounds(batch)))
 
-    stored = wh.table("fct_events", done)
     batch_days = days_of(batch.select(F.to_date("event_timestamp").alias("day")))
+    known = wh.table("fct_events", done, dates=batch_days)
     # Counted while the rows are written, without passes of their own.
     read, kept = Observation("batch"), Observation("net_new")
     counted = batch.observe(read, F.count(F.lit(1)).alias("current_batch_rows"))
-    fresh_rows = incremental.net_new(incremental.dedup_latest(counted), stored, batch_days)
+    fresh_rows = incremental.net_new(incremental.dedup_latest(counted), known, batch_days)
     new = cut(wh, fresh_rows.observe(kept, F.count(F.lit(1)).alias("net_new_rows")), "net_new", seq)
     counts = observed(read, "current_batch_rows") | observed(kept, "net_new_rows")
     if counts["net_new_rows"]:
@@ -67,7 +69,7 @@ def run_silver(
             lambda: _dimensions(wh, new, done, seq),
             lambda: wh.write_delta("fct_product_daily_performance", facts.product_daily(new), seq),
             lambda: wh.write_delta("product_campaign_days", facts.product_campaign_days(new), seq),
-            lambda: _sessions(wh, fresh, stored, options, run_ts, seq, reach),
+            lambda: _sessions(wh, fresh, options, run_ts, done, seq, reach),
         )
         wh.append_facts(fresh, seq)
         counts |= lost
@@ -91,13 +93,6 @@ def together(spark, *steps) -> list:
         return [step.result() for step in running]
 
 
-def _since(stg: DataFrame, bounds: Bounds) -> DataFrame:
-    """Only ingestion days from the last mark on are listed and read."""
-    if bounds.last_ts is None:
-        return stg
-    return stg.filter(F.col("ingestion_date") >= F.lit(bounds.last_ts.date()))
-
-
 def _later(last: Bounds, upper: Bounds) -> Bounds:
     """A replayed batch never moves the mark back."""
     if upper.empty:
@@ -142,35 +137,31 @@ def _dimensions(wh: Warehouse, new: DataFrame, done: int, seq: int) -> None:
 
 
 def _sessions(
-    wh, fresh: DataFrame, stored: DataFrame, options: Options, run_ts, seq: int, reach: int
+    wh, fresh: DataFrame, options: Options, run_ts, done: int, seq: int, reach: int
 ) -> tuple[int, dict]:
-    """Recompute the sessions the batch reaches and replace the dates they lie on.
+    """Recompute the sessions the batch reaches and replace the parts (session date, bucket of the actor) they lie in.
 
-    ``reach`` is the most days a stored session spans; returns the new value, and how many events have no session.
+    Whatever is read and written follows the batch: stored sessions come from the parts its events can reach, facts from
+    the days of the affected sessions. ``reach`` is the most days a stored session spans; returns the new value, and how
+    many events have no session.
     """
     minutes = options.session_minutes
+    wh.check_buckets()
     lost = sessions.unsessionable_count(fresh).first().asDict()
-    span = sessions.sessionizable(fresh).agg(
-        F.min("event_timestamp").alias("lo"), F.max("event_timestamp").alias("hi")
-    ).first()
-    if span["lo"] is None:
+    gap = F.expr(f"interval {minutes} minutes")
+    ts = F.col("event_timestamp")
+    reached = F.sequence(F.date_sub(F.to_date(ts - gap), reach), F.to_date(ts + gap))
+    near_parts = parts_of(sessions.sessionizable(fresh), F.explode(reached), wh)
+    if not near_parts:
         return reach, lost
-    gap = timedelta(minutes=minutes)
-    lo, hi = (ntz(t) for t in (span["lo"] - gap, span["hi"] + gap))
-    near = wh.table("silver_user_sessions").filter(
-        F.col("session_date").between(F.date_sub(F.to_date(lo), reach), F.to_date(hi))
-        & (F.col("session_end_ts") >= lo)
-        & (F.col("session_start_ts") <= hi)
-    )
+    near = wh.table("silver_user_sessions", done, parts=near_parts)
     affected = cut(wh, sessions.affected_sessions(near, fresh, minutes), "affected", seq)
-    pool = cut(wh, sessions.events_window(fresh, _events_of(affected, stored, fresh, minutes)), "pool", seq)
+    pool = cut(wh, sessions.events_window(fresh, _events_of(wh, affected, fresh, minutes, done)), "pool", seq)
 
-    rollup = cut(wh, sessions.session_rollup(pool, minutes), "rollup", seq)
+    rollup = cut(wh, sessions.session_rollup(pool, minutes, options.cart_value_column), "rollup", seq)
     impressions = sessions.distinct_impressions(sessions.list_impressions(pool, minutes))
     attributed = attribution.list_attribution(attribution.last_touch(pool, minutes), minutes)
-    touch = attribution.rollup_campaign_touch(rollup).withColumn(
-        "updated_at", ntz(run_ts)
-    )
+    touch = attribution.rollup_campaign_touch(rollup).withColumn("updated_at", ntz(run_ts))
     results = dict(
         zip(
             SESSION_TABLES,
@@ -183,23 +174,26 @@ def _sessions(
             ),
         )
     )
-    starts = affected.select("session_start_ts").unionByName(rollup.select("session_start_ts"))
-    dates = days_of(starts.select(F.to_date("session_start_ts")))
     stale = affected.select(*sessions.SESSION).unionByName(rollup.select(*sessions.SESSION)).distinct()
+    touched = parts_of(stale, F.to_date("session_start_ts"), wh)
 
     def replace(name):
-        current = wh.table(name).filter(F.col("session_date").isin(dates))
+        current = wh.table(name, done, parts=touched)
         kept = current.join(stale, sessions.SESSION, "left_anti").select(*current.columns)
-        wh.replace_dates(name, kept.unionByName(scd.conform(results[name], current.schema)), dates)
+        wh.write_parts(name, kept.unionByName(scd.conform(results[name], current.schema)), seq)
 
-    # silver_user_sessions decides what is affected, so it is replaced last.
-    together(wh.spark, *[partial(replace, name) for name in SESSION_TABLES[1:]])
-    replace(SESSION_TABLES[0])
+    together(wh.spark, *[partial(replace, name) for name in SESSION_TABLES])
+    wh.list_parts(touched, done, seq)
     longest = rollup.agg(F.max(F.datediff("session_end_ts", "session_start_ts"))).first()[0]
-    return max(reach, longest), lost
+    return max(reach, longest), {**lost, "session_dates": sorted({d for d, _ in touched})}
+
+
+def parts_of(rows: DataFrame, day, wh: Warehouse) -> set:
+    """Distinct (date, bucket of the actor): at most calendar days x buckets."""
+    return {tuple(r) for r in rows.select(day.alias("day"), wh.bucket().alias("bucket")).distinct().collect()}
 
 
-def _events_of(affected: DataFrame, stored: DataFrame, fresh: DataFrame, minutes: int) -> DataFrame:
+def _events_of(wh: Warehouse, affected: DataFrame, fresh: DataFrame, minutes: int, done: int) -> DataFrame:
     """Stored events of the affected sessions, without those the batch brings again."""
     width = minutes * 60
     spans = affected.select(
@@ -214,9 +208,9 @@ def _events_of(affected: DataFrame, stored: DataFrame, fresh: DataFrame, minutes
             F.sequence(F.to_date("session_start_ts"), F.to_date("session_end_ts"), F.expr("interval 1 day"))
         )
     )
-    near = stored.filter(F.col("date_id").isin(days_of(days)))
+    stored = wh.table("fct_events", done, dates=days_of(days))
     return (
-        sessions.with_cell(near, minutes)
+        sessions.with_cell(stored, minutes)
         .join(spans, [*sessions.ACTOR, "cell"])
         .filter(F.col("event_timestamp").between(F.col("session_start_ts"), F.col("session_end_ts")))
         .select(*stored.columns)

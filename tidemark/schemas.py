@@ -117,3 +117,5 @@ CHECKPOINTS = _ddl(
     "pipeline string, hwm_ts timestamp_ntz, hwm_event_id string, last_run_current_batch_rows long,"
     "last_run_net_new_rows long, updated_at timestamp_ntz, max_session_days int"
 )
+# Which run holds a part of a session table.
+SESSION_PARTS = _ddl("table string, session_date date, bucket int, seq int, buckets int")

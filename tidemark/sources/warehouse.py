@@ -1,11 +1,14 @@
 """Parquet tables of the pipeline.
 
-Three kinds of table:
+Four kinds of table:
 
 * ``snapshot``: small tables written whole into ``run_seq=N``; readers take the newest committed run.
 * ``delta``: additive rows of each run under ``run_seq=N``; readers roll all committed runs up. Every
   ``COMPACT_EVERY`` runs the roll-up is stored under ``base_seq=N`` and later runs are added to that.
-* ``partitioned``: large tables partitioned by a date; a run replaces only the dates it touches.
+* ``dated``: facts and staging, appended under the date they belong to.
+* ``bucketed``: session tables in parts (session date, bucket of the actor). A run writes the parts it touches, whole,
+  under its own ``run_seq=N``; the snapshot ``session_parts`` lists which run holds each part. Readers read the parts of
+  one commit by their paths, so tables that a run has replaced only in part are never seen together.
 
 A run with sequence N is committed when its ``etl_checkpoints`` snapshot exists. A run that died before
 that is repeated under the same N and overwrites what it left behind.
@@ -13,13 +16,17 @@ that is repeated under the same N and overwrites what it left behind.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators import facts
 from tidemark.operators.scd import conform
+from tidemark.operators.sessions import ACTOR
+from tidemark.sources.files import delete, file_system, matching
 
 SNAPSHOTS = {
     "dim_users": schemas.DIM_USERS,
@@ -27,6 +34,7 @@ SNAPSHOTS = {
     "dim_item_lists": schemas.DIM_ITEM_LISTS,
     "dim_campaigns": schemas.DIM_CAMPAIGNS,
     "dim_experiments": schemas.DIM_EXPERIMENTS,
+    "session_parts": schemas.SESSION_PARTS,
     "etl_checkpoints": schemas.CHECKPOINTS,
 }
 DELTAS = {
@@ -34,7 +42,7 @@ DELTAS = {
     "fct_product_daily_performance": schemas.PRODUCT_DAILY,
     "product_campaign_days": schemas.PRODUCT_CAMPAIGN_DAYS,
 }
-PARTITIONED = {
+BUCKETED = {
     "silver_user_sessions": schemas.USER_SESSIONS,
     "silver_session_features": schemas.SESSION_FEATURES,
     "silver_list_impressions": schemas.LIST_IMPRESSIONS,
@@ -48,25 +56,22 @@ KEEP_SNAPSHOTS = 5
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, session_buckets: int = 4):
+        """``session_buckets``: parts of a session date; the more, the less a late event of one user rewrites."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.session_buckets = session_buckets
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _hadoop(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
     def exists(self, path: str) -> bool:
-        fs, p = self._hadoop(path)
+        fs, p = file_system(self.spark, path)
         return fs.exists(p)
 
     def _runs(self, name: str, label: str = "run_seq") -> list:
         """Finished run folders of a table."""
-        fs, p = self._hadoop(self.path(name))
+        fs, p = file_system(self.spark, self.path(name))
         if not fs.exists(p):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
@@ -82,13 +87,16 @@ class Warehouse:
         columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
         return self.spark.range(1).select(*columns).limit(0)
 
-    def table(self, name: str, upto: int | None = None) -> DataFrame:
-        """Committed content of a table; filters on the partition date prune its folders."""
+    def table(self, name: str, upto: int | None = None, dates: list | None = None, parts: set | None = None) -> DataFrame:
+        """Content of a table at a commit (the last one by default).
+
+        ``dates`` (facts and staging) or ``parts`` (session tables) limit what is read, and even listed, to those.
+        """
         upto = self.committed() if upto is None else upto
         if name == "stg_events":
-            return self._dated(name, schemas.STG_EVENTS, "ingestion_date")
+            return self._dated(name, schemas.STG_EVENTS, ["ingestion_date"], dates)
         if name == "fct_events":
-            events = self._dated(name, schemas.FCT_EVENTS, "date_id", "run_seq")
+            events = self._dated(name, schemas.FCT_EVENTS, ["date_id", "run_seq"], dates)
             return events.filter(F.col("run_seq") <= upto).drop("run_seq")
         if name in SNAPSHOTS:
             runs = [n for n in self._runs(name) if n <= upto]
@@ -100,19 +108,41 @@ class Warehouse:
             return facts.priced_campaigns(self.table("product_campaign_days", upto), *dims)
         if name in DELTAS:
             return self._rolled_up(name, upto)
-        if name in PARTITIONED:
-            return self._dated(name, PARTITIONED[name], "session_date")
+        if name in BUCKETED:
+            found = [p for n, *p in self.session_parts(upto) if n == name and (parts is None or tuple(p[:2]) in parts)]
+            paths = [f"{self.path(name)}/{part_path(seq, day, bucket)}" for day, bucket, seq in found]
+            return self._read(name, BUCKETED[name], [], paths)
         raise ValueError(f"unknown table: {name}")
 
-    def _dated(self, name, schema, *partitions) -> DataFrame:
-        types = {"run_seq": T.IntegerType()}
+    def session_parts(self, upto: int | None = None) -> list[tuple]:
+        """(table, session_date, bucket, run_seq) of every part at a commit: tables x calendar days x buckets at most."""
+        return [tuple(r) for r in self.table("session_parts", upto).select("table", "session_date", "bucket", "seq").collect()]
+
+    def _dated(self, name, schema, partitions, dates) -> DataFrame:
+        root = self.path(name)
+        if not self.exists(root):
+            paths = []
+        elif dates is None:
+            paths = [root]
+        else:
+            wanted = {str(d) for d in dates}
+            paths = [p for p in matching(self.spark, f"{root}/{partitions[0]}=*") if p.rsplit("=", 1)[1] in wanted]
+        return self._read(name, schema, partitions, paths)
+
+    def dates_since(self, name: str, column: str, first) -> list[str] | None:
+        """Dates of a dated table from ``first`` on; None if all."""
+        if first is None:
+            return None
+        found = [p.rsplit("=", 1)[1] for p in matching(self.spark, f"{self.path(name)}/{column}=*")]
+        return [d for d in found if d >= str(first)]
+
+    def _read(self, name: str, schema, partitions: list, paths: list[str]) -> DataFrame:
         extra = [p for p in partitions if p not in schema.names]
-        full = T.StructType(
-            schema.fields + [T.StructField(p, types.get(p, T.DateType())) for p in extra]
-        )
-        if not self.exists(self.path(name)):
+        types = {"run_seq": T.IntegerType()}
+        full = T.StructType(schema.fields + [T.StructField(p, types.get(p, T.DateType())) for p in extra])
+        if not paths:
             return self.empty(full)
-        return self.spark.read.schema(full).parquet(self.path(name)).select(*full.names)
+        return self.spark.read.schema(full).option("basePath", self.path(name)).parquet(*paths).select(*full.names)
 
     def _rolled_up(self, name: str, upto: int) -> DataFrame:
         schema = DELTAS[name]
@@ -125,20 +155,24 @@ class Warehouse:
         return roll_up(name, self.spark.read.schema(schema).parquet(*paths))
 
     def tidy(self, seq: int, compact_every: int = COMPACT_EVERY) -> None:
-        """After run ``seq`` is committed: drop its work files and old snapshots, compact deltas."""
-        self._delete(f"{self.path('_work')}/run_seq={seq}")
+        """After run ``seq`` is committed: drop its work files, old snapshots and parts, compact deltas."""
+        delete(self.spark, f"{self.path('_work')}/run_seq={seq}")
+        self._drop_parts()
         for name in SNAPSHOTS:
             for n in self._runs(name)[:-KEEP_SNAPSHOTS]:
-                self._delete(f"{self.path(name)}/run_seq={n}")
+                delete(self.spark, f"{self.path(name)}/run_seq={n}")
         for name, schema in DELTAS.items():
             base = max(self._runs(name, "base_seq"), default=0)
             if len([n for n in self._runs(name) if base < n <= seq]) >= compact_every:
                 rolled = self._rolled_up(name, seq)
                 conform(rolled, schema).write.mode("overwrite").parquet(f"{self.path(name)}/base_seq={seq}")
 
-    def _delete(self, path: str) -> None:
-        fs, p = self._hadoop(path)
-        fs.delete(p, True)
+    def _drop_parts(self) -> None:
+        """Delete parts that no kept commit lists any more: those of a dropped list that its successor replaced."""
+        runs = self._runs("session_parts")
+        for old, following in list(zip(runs, runs[1:]))[: max(0, len(runs) - KEEP_SNAPSHOTS)]:
+            for name, day, bucket, seq in set(self.session_parts(old)) - set(self.session_parts(following)):
+                delete(self.spark, f"{self.path(name)}/{part_path(seq, day, bucket)}")
 
     def write_snapshot(self, name: str, df: DataFrame, seq: int) -> None:
         conform(df, SNAPSHOTS[name]).write.mode("overwrite").parquet(f"{self.path(name)}/run_seq={seq}")
@@ -153,21 +187,37 @@ class Warehouse:
             ["date_id", "run_seq"],
         )
 
-    def replace_dates(self, name: str, df: DataFrame, dates: list) -> None:
-        """Make ``df`` the whole content of ``dates``; a date left without rows loses its folder."""
-        if not dates:
-            return
-        folders = {d: f"{self.path(name)}/session_date={d}" for d in dates}
-        before = {d: self._files(p) for d, p in folders.items()}
-        replace_partitions(conform(df, PARTITIONED[name]), self.path(name), ["session_date"])
-        for d, p in folders.items():
-            # The write swaps whole folders, so one that still has an old file got no rows.
-            if before[d] & self._files(p):
-                self._delete(p)
+    def bucket(self) -> Column:
+        """The bucket of a row's actor inside a session date."""
+        return F.pmod(F.xxhash64(*ACTOR), F.lit(self.session_buckets)).cast("int")
+
+    def write_parts(self, name: str, df: DataFrame, seq: int) -> None:
+        """Write the new content of all parts that run ``seq`` touches."""
+        rows = conform(df, BUCKETED[name]).withColumn("bucket", self.bucket())
+        rows.hint("rebalance", "session_date", "bucket").write.mode("overwrite").partitionBy("session_date", "bucket").parquet(
+            f"{self.path(name)}/run_seq={seq}"
+        )
+
+    def list_parts(self, touched: set, done: int, seq: int) -> None:
+        """The parts at commit ``seq``: those of ``done`` that were not touched, and what was written."""
+        kept = [p for p in self.session_parts(done) if (p[1], p[2]) not in touched]
+        written = []
+        for name in BUCKETED:
+            for path in matching(self.spark, f"{self.path(name)}/run_seq={seq}/session_date=*/bucket=*"):
+                *_, day, bucket = path.split("/")
+                written.append((name, date.fromisoformat(day.split("=")[1]), int(bucket.split("=")[1]), seq))
+        rows = [(*p, self.session_buckets) for p in kept + written]
+        self.write_snapshot("session_parts", self.spark.createDataFrame(rows, schemas.SESSION_PARTS), seq)
+
+    def check_buckets(self) -> None:
+        """A warehouse keeps the number of buckets it began with."""
+        made = self.table("session_parts").select("buckets").first()
+        if made and made["buckets"] != self.session_buckets:
+            raise ValueError(f"session tables have {made['buckets']} buckets, not {self.session_buckets}")
+
 
-    def _files(self, path: str) -> set:
-        fs, p = self._hadoop(path)
-        return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+def part_path(seq: int, day, bucket: int) -> str:
+    return f"run_seq={seq}/session_date={day}/bucket={bucket}"
 
 
 def roll_up(name: str, rows: DataFrame) -> DataFrame:
@@ -208,5 +258,4 @@ def replace_partitions(df: DataFrame, path: str, partitions: list) -> None:
 def drop_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
     """Delete the partitions of these values, where there are any."""
     for value in values:
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        delete(spark, f"{path}/{column}={value}")
