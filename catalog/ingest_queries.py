@@ -6,11 +6,13 @@ them with two items, as a JSON list, without a timestamp, or cut off.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from catalog import fragments as frag
 from catalog.adapter import MINUTES, RUN_TS, read, staged, stg
-from catalog.registry import fragment, query
+from catalog.registry import FRAGMENTS, fragment, query
 from tidemark.functions import ga4
 from tidemark.operators import backfill, ingest
 from tidemark.options import Options
@@ -68,6 +70,7 @@ def raw_lines(spark, sf):
                 "item_list_name", "price_in_usd", "price", "quantity", "item_revenue_in_usd", "item_revenue",
                 "discount_value", "total_price", "installments", "installment_price",
                 F.when(codes != "", codes).alias("discounts"), "is_in_stock",
+                F.concat(F.lit("Cat "), (c("k") % 6).cast("string")).alias("item_category"), F.lit("None").alias("coupon"),
             )
         )
     )
@@ -325,7 +328,7 @@ def _(spark, sf):
 
 
 @query("P10_backfill", """
-SELECT event_id, product_id, CASE WHEN k % 6 <> 1 THEN 'Cat ' || (k % 6) END AS product_category_1,
+SELECT event_id, product_id, 'Cat ' || (k % 6) AS product_category_1,
   CAST(NULL AS VARCHAR) AS product_category_2, CAST(NULL AS VARCHAR) AS coupon FROM raw_rows WHERE k <> 96
 """)
 def _(spark, sf):
@@ -335,20 +338,20 @@ def _(spark, sf):
 
 
 @query("P11_backfill_field", """
-SELECT 'Cat ' || (k % 6) AS category, product_id, count(*) AS items FROM raw_rows WHERE k % 6 <> 1 GROUP BY 1, 2
+SELECT 'Cat ' || (k % 6) AS category, product_id, count(*) AS items FROM raw_rows GROUP BY 1, 2
 """)
 def _(spark, sf):
     good, _ = ev.split_parsed(_parsed(spark, sf))
-    texts = good.filter(~F.col("items").startswith('[{"')).select(F.explode(ga4.split_items("items")).alias("t"))
+    texts = good.select(F.explode(ingest.item_texts(F.col("items"))).alias("t"))
     return texts.groupBy(
-        ga4.extract_field("t", "item_category").alias("category"),
-        ga4.extract_field("t", "item_id").alias("product_id"),
+        ga4.item_field("t", "item_category").alias("category"),
+        ga4.item_field("t", "item_id").alias("product_id"),
     ).agg(F.count(F.lit(1)).alias("items"))
 
 
 @query("P12_backfill_stats", """
 SELECT 'product_category_1' AS field, count(*) AS total_rows, count(*) AS rows_needing_backfill,
-  count(*) AS null_rows, count(*) FILTER (k % 6 <> 1) AS values_found FROM raw_rows WHERE k <> 96
+  count(*) AS null_rows, count(*) AS values_found FROM raw_rows WHERE k <> 96
 UNION ALL
 SELECT 'coupon', count(*), count(*), count(*), 0 FROM raw_rows WHERE k <> 96
 """)
@@ -420,8 +423,9 @@ def _(spark, sf):
 
 
 fragment("raw_facts", """
-SELECT r.*, p.platform_id, CAST(event_timestamp AS DATE) AS date_id FROM raw_good r
-LEFT JOIN platforms p ON upper(r.platform) = p.platform_name
+SELECT r.*, p.platform_id, CAST(event_timestamp AS DATE) AS date_id, discount_campaigns AS campaign_codes,
+  discount_experiment_variant AS experiment_id
+FROM raw_good r LEFT JOIN platforms p ON upper(r.platform) = p.platform_name
 """)
 fragment("raw_sess", frag.sessionized_sql("raw_facts"))
 fragment("raw_usess", frag.sessions_sql("raw_sess"))
@@ -444,6 +448,74 @@ def _(spark, sf):
     return _stored_features(wh)
 
 
+#: Fragments over staged events, read over the rows of the raw lines instead.
+_RAW = {"stg": "raw_good", "facts": "raw_facts", "sess": "raw_sess", "usess": "raw_usess", "cart": "raw_cart", "feat": "raw_feat"}
+_REBASED = ("imps", "attr", "ctouch", "bought", "pday", "dprod", "codes", "dcamp", "code_days", "fpc", "pdaily")
+
+
+def over_raw(sql: str) -> str:
+    names = _RAW | {n: f"raw_{n}" for n in _REBASED}
+    return re.sub(r"\b(FROM|JOIN)( +)(\w+)", lambda m: m[1] + m[2] + names.get(m[3], m[3]), sql)
+
+
+for _name in _REBASED:
+    fragment(f"raw_{_name}", over_raw(FRAGMENTS[_name]))
+
+
+def late_mixed(spark, sf):
+    """A warehouse of all raw lines in three micro-batches that each hold events of all days, the same for all queries."""
+    key = (spark.sparkContext.applicationId, sf, "late mixed")
+    if key not in _WRITTEN:
+        wh = Warehouse(spark, scratch_dir(spark, "wh"))
+        lines = spark.read.text(raw_files(spark, sf)).withColumn("filepath", F.lit("raw"))
+        for n in range(3):
+            part = lines.filter(F.pmod(F.xxhash64("value"), F.lit(3)) == n)
+            jobs.ingest_batch(wh, part, OPTIONS, load=f"part-{n}")
+        _WRITTEN[key] = wh
+    return _WRITTEN[key]
+
+
+@query("T1_incremental", _RAW_FEATURES)
+def _(spark, sf):
+    return _stored_features(late_mixed(spark, sf))
+
+
+@query("T1_incremental_attribution", """
+SELECT event_id, session_start_ts, item_list_id, impression_ts_chosen FROM raw_attr WHERE item_list_id IS NOT NULL
+""")
+def _(spark, sf):
+    stored = late_mixed(spark, sf).table("silver_event_list_attribution")
+    return stored.select("event_id", "session_start_ts", "item_list_id", "impression_ts_chosen")
+
+
+@query("T1_incremental_campaign_touch", "SELECT * FROM raw_ctouch")
+def _(spark, sf):
+    return late_mixed(spark, sf).table("silver_session_campaign_last_touch").drop("updated_at", "session_date")
+
+
+@query("T1_incremental_product_campaigns", "SELECT * FROM raw_fpc")
+def _(spark, sf):
+    return late_mixed(spark, sf).table("fct_product_campaigns")
+
+
+@query("T1_incremental_product_daily", "SELECT * FROM raw_pdaily")
+def _(spark, sf):
+    return late_mixed(spark, sf).table("fct_product_daily_performance")
+
+
+@query("T1_incremental_dim_products", """
+SELECT product_id, product_name, price, effective_start_date, effective_end_date, is_active FROM raw_dprod
+""")
+def _(spark, sf):
+    return late_mixed(spark, sf).table("dim_products").drop("product_sk", "product_category")
+
+
+@query("T1_incremental_dim_campaigns", "SELECT campaign_id, campaign_name, effective_start_date, is_active FROM raw_dcamp")
+def _(spark, sf):
+    dim = late_mixed(spark, sf).table("dim_campaigns")
+    return dim.select("campaign_id", "campaign_name", "effective_start_date", "is_active")
+
+
 @query("T2_run_gold", f"""
 SELECT session_date AS date, platform_id, count(*) AS sessions, count(*) FILTER (is_bounce) AS bounced,
   count(*) FILTER (is_abandoned_checkout) AS abandoned, CAST(sum(events_in_session) AS BIGINT) AS total_events
@@ -454,7 +526,7 @@ def _(spark, sf):
     good, _ = ingest.validate(flat(spark, sf))
     ev.append_staging(good, wh.path("stg_events"))
     run_silver(wh, OPTIONS)
-    gold = run_gold(wh, "2024-01-30")
+    gold = run_gold(wh, "2024-01-30", options=OPTIONS)
     day = [F.col("session_date").alias("date"), "platform_id"]
 
     def sessions_of(name, alias):

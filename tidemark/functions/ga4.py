@@ -82,6 +82,13 @@ def extract_field(item, name: str) -> Column:
     return text_field(item, name, BACKFILL_NULL_TOKENS)
 
 
+def item_field(item, name: str) -> Column:
+    """The same of an item of either form: item text or a JSON object."""
+    listed = col(item).rlike(r'^\s*\{\s*"')
+    value = _known(F.get_json_object(col(item), f"$.{name}"), BACKFILL_NULL_TOKENS)
+    return F.when(listed, value).otherwise(extract_field(item, name))
+
+
 def _raw_number(item, name: str) -> Column:
     """Digits and dots after ``name=``; a sign is not part of the format."""
     return F.regexp_extract(col(item), _after(name, "([0-9.]+)"), 1)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import ga4
 from tidemark.functions.columns import pin
+from tidemark.operators.ingest import item_texts
 from tidemark.options import BACKFILL_FIELDS, DEFAULT_BACKFILL
 
 
@@ -18,11 +19,11 @@ def _fields(fields) -> dict:
 
 
 def item_of_row(item_index: int | None) -> Column:
-    """The row's own item by product id, or the item at a fixed position."""
-    items = ga4.split_items(F.get_json_object("raw_event", "$.items"))
+    """The row's own item by product id, or the item at a fixed position; items come as text or as a JSON list."""
+    items = item_texts(F.get_json_object("raw_event", "$.items"))
     if item_index is not None:
         return F.try_element_at(items, F.lit(item_index + 1))
-    own = F.filter(items, lambda i: ga4.text_field(i, "item_id").eqNullSafe(F.col("product_id")))
+    own = F.filter(items, lambda i: ga4.item_field(i, "item_id").eqNullSafe(F.col("product_id")))
     return F.try_element_at(own, F.lit(1))
 
 
@@ -30,7 +31,7 @@ def _with_found(df: DataFrame, fields: dict, item_index) -> DataFrame:
     missing = {f: F.lit(None).cast("string") for f in fields if f not in df.columns}
     items = pin(df.withColumns(missing), "item_text", item_of_row(item_index))
     return pin(
-        items, "found", F.struct(*[ga4.extract_field("item_text", key).alias(f) for f, key in fields.items()])
+        items, "found", F.struct(*[ga4.item_field("item_text", key).alias(f) for f, key in fields.items()])
     )
 
 

@@ -112,13 +112,11 @@ def _line_value(value_col: str) -> Column:
     return F.when(is_event("begin_checkout"), F.col(value_col) * F.col("quantity"))
 
 
-def cart_metrics(
-    sessions: DataFrame, facts: DataFrame, minutes: int = 30, value_col: str = "price"
-) -> DataFrame:
-    """Cart value and products of the checkout lines inside each session.
+def within(rows: DataFrame, sessions: DataFrame, minutes: int) -> DataFrame:
+    """Rows with the session (start and end) of their actor that they lie in.
 
-    Sessions are spread over the cells they cover, so the join is an equality on (user, platform, cell)
-    with at most two sessions a side; the time bounds only settle which.
+    Sessions are spread over the cells they cover, so the join is an equality on (user, platform, cell) with at most two
+    sessions a side; the time bounds only settle which.
     """
     width = minutes * 60
     spans = sessions.select(
@@ -128,14 +126,20 @@ def cart_metrics(
             F.sequence(time_bucket("session_start_ts", width), time_bucket("session_end_ts", width))
         ).alias("cell"),
     )
-    lines = with_cell(facts.filter(is_event("begin_checkout")), minutes).select(
-        *ACTOR, "cell", "event_timestamp", "event_id", "product_id", _line_value(value_col).alias("line")
-    )
-    inside = spans.join(lines, [*ACTOR, "cell"]).filter(
-        F.col("event_timestamp").between(F.col("session_start_ts"), F.col("session_end_ts"))
+    met = with_cell(rows, minutes).join(spans, [*ACTOR, "cell"])
+    return met.filter(F.col("event_timestamp").between(F.col("session_start_ts"), F.col("session_end_ts"))).drop("cell")
+
+
+def cart_metrics(
+    sessions: DataFrame, facts: DataFrame, minutes: int = 30, value_col: str = "price"
+) -> DataFrame:
+    """Cart value and products of the checkout lines inside each session."""
+    lines = facts.filter(is_event("begin_checkout")).select(
+        *ACTOR, "event_timestamp", "product_id", _line_value(value_col).alias("line")
     )
     return (
-        inside.groupBy(*SESSION)
+        within(lines, sessions, minutes)
+        .groupBy(*SESSION)
         .agg(
             F.sum("line").cast("decimal(18,2)").alias("cart_value"),
             F.sort_array(F.collect_set("product_id")).alias("cart_products"),

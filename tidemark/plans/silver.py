@@ -14,7 +14,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import ntz, observed, time_bucket, utc_now
+from tidemark.functions.columns import ntz, observed, utc_now
 from tidemark.operators import attribution, facts, incremental, scd, sessions
 from tidemark.operators.incremental import Bounds
 from tidemark.options import Options
@@ -35,8 +35,14 @@ def run_silver(
     options: Options = Options(),
     batch: DataFrame | None = None,
     run_ts: datetime | None = None,
+    catalogs: dict[str, DataFrame] | None = None,
 ) -> dict:
-    """Process new staged rows (or the given batch) and return the run's counts."""
+    """Process new staged rows (or the given batch); returns the run's counts and the ``dates`` whose tables it changed.
+
+    ``dates`` are the days of new facts and the start dates of recomputed sessions, for gold to rebuild. ``catalogs``
+    give the attributes of campaigns and experiments seen for the first time: ``dim_campaigns`` or ``dim_experiments``
+    -> a frame keyed by the id.
+    """
     run_ts = run_ts or utc_now()
     done = wh.committed()
     seq = done + 1
@@ -61,24 +67,26 @@ def run_silver(
     fresh_rows = incremental.net_new(incremental.dedup_latest(counted), known, batch_days)
     new = cut(wh, fresh_rows.observe(kept, F.count(F.lit(1)).alias("net_new_rows")), "net_new", seq)
     counts = observed(read, "current_batch_rows") | observed(kept, "net_new_rows")
+    dates: set = set()
     if counts["net_new_rows"]:
         platforms = lookups.dim_platforms(wh.spark, options.platforms)
         fresh = facts.fct_events(new, platforms, run_ts)
-        *_, (reach, lost) = together(
+        *_, (reach, lost, session_dates) = together(
             wh.spark,
-            lambda: _dimensions(wh, new, done, seq),
+            lambda: _dimensions(wh, new, done, seq, catalogs or {}),
             lambda: wh.write_delta("fct_product_daily_performance", facts.product_daily(new), seq),
             lambda: wh.write_delta("product_campaign_days", facts.product_campaign_days(new), seq),
             lambda: _sessions(wh, fresh, options, run_ts, done, seq, reach),
         )
         wh.append_facts(fresh, seq)
         counts |= lost
+        dates = session_dates | set(days_of(new.select(F.to_date("event_timestamp"))))
     row = incremental.advance(
         wh.spark, bounds, counts["current_batch_rows"], counts["net_new_rows"], run_ts, reach
     )
     wh.write_snapshot("etl_checkpoints", row, seq)
     wh.tidy(seq)
-    return {"run_seq": seq, **counts}
+    return {"run_seq": seq, **counts, "dates": sorted(dates)}
 
 
 def days_of(df: DataFrame) -> list:
@@ -109,7 +117,7 @@ def cut(wh: Warehouse, df: DataFrame, name: str, seq: int) -> DataFrame:
     return wh.spark.read.schema(df.schema).parquet(path)
 
 
-def _dimensions(wh: Warehouse, new: DataFrame, done: int, seq: int) -> None:
+def _dimensions(wh: Warehouse, new: DataFrame, done: int, seq: int, catalogs: dict) -> None:
     def users():
         dim = wh.table("dim_users", done)
         wh.write_snapshot("dim_users", scd.merge_users(dim, scd.user_changes(new, dim)), seq)
@@ -123,27 +131,27 @@ def _dimensions(wh: Warehouse, new: DataFrame, done: int, seq: int) -> None:
         rebuilt = scd.conform(scd.dim_products(history), dim.schema)
         wh.write_snapshot("dim_products", kept.select(*rebuilt.columns).unionByName(rebuilt), seq)
 
-    def merged(name, merge):
-        return lambda: wh.write_snapshot(name, merge(wh.table(name, done), new), seq)
+    def merged(name, merge, **more):
+        return lambda: wh.write_snapshot(name, merge(wh.table(name, done), new, **more), seq)
 
     together(
         wh.spark,
         users,
         products,
         merged("dim_item_lists", scd.merge_item_lists),
-        merged("dim_campaigns", scd.merge_campaigns),
-        merged("dim_experiments", scd.merge_experiments),
+        merged("dim_campaigns", scd.merge_campaigns, catalog=catalogs.get("dim_campaigns")),
+        merged("dim_experiments", scd.merge_experiments, catalog=catalogs.get("dim_experiments")),
     )
 
 
 def _sessions(
     wh, fresh: DataFrame, options: Options, run_ts, done: int, seq: int, reach: int
-) -> tuple[int, dict]:
+) -> tuple[int, dict, set]:
     """Recompute the sessions the batch reaches and replace the parts (session date, bucket of the actor) they lie in.
 
     Whatever is read and written follows the batch: stored sessions come from the parts its events can reach, facts from
-    the days of the affected sessions. ``reach`` is the most days a stored session spans; returns the new value, and how
-    many events have no session.
+    the days of the affected sessions. ``reach`` is the most days a stored session spans; returns the new value, how many
+    events have no session, and the touched session dates.
     """
     minutes = options.session_minutes
     wh.check_buckets()
@@ -153,7 +161,7 @@ def _sessions(
     reached = F.sequence(F.date_sub(F.to_date(ts - gap), reach), F.to_date(ts + gap))
     near_parts = parts_of(sessions.sessionizable(fresh), F.explode(reached), wh)
     if not near_parts:
-        return reach, lost
+        return reach, lost, set()
     near = wh.table("silver_user_sessions", done, parts=near_parts)
     affected = cut(wh, sessions.affected_sessions(near, fresh, minutes), "affected", seq)
     pool = cut(wh, sessions.events_window(fresh, _events_of(wh, affected, fresh, minutes, done)), "pool", seq)
@@ -185,7 +193,7 @@ def _sessions(
     together(wh.spark, *[partial(replace, name) for name in SESSION_TABLES])
     wh.list_parts(touched, done, seq)
     longest = rollup.agg(F.max(F.datediff("session_end_ts", "session_start_ts"))).first()[0]
-    return max(reach, longest), {**lost, "session_dates": sorted({d for d, _ in touched})}
+    return max(reach, longest), lost, {d for d, _ in touched}
 
 
 def parts_of(rows: DataFrame, day, wh: Warehouse) -> set:
@@ -195,25 +203,17 @@ def parts_of(rows: DataFrame, day, wh: Warehouse) -> set:
 
 def _events_of(wh: Warehouse, affected: DataFrame, fresh: DataFrame, minutes: int, done: int) -> DataFrame:
     """Stored events of the affected sessions, without those the batch brings again."""
-    width = minutes * 60
-    spans = affected.select(
-        *sessions.SESSION,
-        "session_end_ts",
-        F.explode(
-            F.sequence(time_bucket("session_start_ts", width), time_bucket("session_end_ts", width))
-        ).alias("cell"),
-    )
-    days = affected.select(
-        F.explode(
-            F.sequence(F.to_date("session_start_ts"), F.to_date("session_end_ts"), F.expr("interval 1 day"))
-        )
-    )
-    stored = wh.table("fct_events", done, dates=days_of(days))
+    stored = wh.table("fct_events", done, dates=days_of(session_days(affected)))
     return (
-        sessions.with_cell(stored, minutes)
-        .join(spans, [*sessions.ACTOR, "cell"])
-        .filter(F.col("event_timestamp").between(F.col("session_start_ts"), F.col("session_end_ts")))
+        sessions.within(stored, affected, minutes)
         .select(*stored.columns)
         .join(fresh.select("event_id"), "event_id", "left_anti")
         .select(*stored.columns)
     )
+
+
+def session_days(found: DataFrame) -> DataFrame:
+    """All days that the sessions lie on."""
+    return found.select(
+        F.explode(F.sequence(F.to_date("session_start_ts"), F.to_date("session_end_ts"), F.expr("interval 1 day")))
+    )

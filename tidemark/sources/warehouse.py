@@ -87,14 +87,18 @@ class Warehouse:
         columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
         return self.spark.range(1).select(*columns).limit(0)
 
-    def table(self, name: str, upto: int | None = None, dates: list | None = None, parts: set | None = None) -> DataFrame:
+    def table(
+        self, name: str, upto: int | None = None, dates: list | None = None, parts: set | None = None, schema=None
+    ) -> DataFrame:
         """Content of a table at a commit (the last one by default).
 
         ``dates`` (facts and staging) or ``parts`` (session tables) limit what is read, and even listed, to those.
+        ``schema`` reads further columns of staging and the load each row belongs to.
         """
-        upto = self.committed() if upto is None else upto
         if name == "stg_events":
-            return self._dated(name, schemas.STG_EVENTS, ["ingestion_date"], dates)
+            partitions = ["ingestion_date", "load"] if schema else ["ingestion_date"]
+            return self._dated(name, schema or schemas.STG_EVENTS, partitions, dates)
+        upto = self.committed() if upto is None else upto
         if name == "fct_events":
             events = self._dated(name, schemas.FCT_EVENTS, ["date_id", "run_seq"], dates)
             return events.filter(F.col("run_seq") <= upto).drop("run_seq")
@@ -138,7 +142,7 @@ class Warehouse:
 
     def _read(self, name: str, schema, partitions: list, paths: list[str]) -> DataFrame:
         extra = [p for p in partitions if p not in schema.names]
-        types = {"run_seq": T.IntegerType()}
+        types = {"run_seq": T.IntegerType(), "load": T.StringType()}
         full = T.StructType(schema.fields + [T.StructField(p, types.get(p, T.DateType())) for p in extra])
         if not paths:
             return self.empty(full)
