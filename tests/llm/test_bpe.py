@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from helpers import ODD_TEXTS, docs, empty, prose
+from pyspark.sql import Row
 from tokenizers import Tokenizer
 
 from tidemark.llm import automaton, bpe, queries
@@ -30,11 +31,21 @@ def tables():
 
 def with_words(tables, words):
     words = sorted(set(words))
-    ids = [bpe._Encoder(tables).merged(w) for w in words]
+    merges = bpe.Merges(tables)
+    ids = [merges.one(w) for w in words]
     return {**tables, **automaton.compiled(words), "ids_begin": np.append(0, np.cumsum([len(x) for x in ids], dtype=np.int64)),
             "ids": np.array([x for xs in ids for x in xs] or [0], dtype=np.uint32)}
 
 
+def test_words_merged_together_equal_words_merged_alone(tables):
+    r = random.Random(6)
+    merges = bpe.Merges(tables)
+    words = [bytes(r.choice(b"aaaaeiounrst \xc3\xa9") for _ in range(r.randrange(1, 65))) for _ in range(3000)] + [b"a" * n for n in range(1, 65)]
+    lengths = np.array([len(w) for w in words])
+    ids, counts = merges.many(np.frombuffer(b"".join(words), dtype=np.uint8), np.cumsum(lengths) - lengths, lengths)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [merges.one(w) for w in words]
+
+
 def test_automaton_ranks_its_strings_and_no_others():
     r = random.Random(1)
     strings = sorted({bytes(r.choice(b"abc\xff\x00") for _ in range(r.randrange(1, 9))) for _ in range(900)} | {bytes([k, k]) for k in range(256)})
@@ -77,7 +88,7 @@ def test_decoding_equals_the_library_on_any_ids(tokenizer, tables):
 
 
 def test_long_texts_are_cut_where_words_start(tokenizer, tables, monkeypatch):
-    monkeypatch.setattr(bpe, "SLICE_BYTES", 500)
+    monkeypatch.setattr(bpe, "PART_BYTES", 500)
     encoder = bpe._Encoder(with_words(tables, [b" w12"]))
     texts = [prose(1, 2000) + MARK + " 's  x", "a" * 30_000, "", "12 " * 9_000]
     got = encoder([t.encode() for t in texts])[0].to_pylist()
@@ -94,7 +105,7 @@ def test_lexicon_is_the_most_frequent_words_of_all_rows(spark):
     rows = docs(spark, [(k, " b b b a a c") for k in range(30)] + [(99, None), (98, "")])
     counts = {bytes(r["word"]): r["n"] for r in bpe.word_counts(rows).collect()}
     assert counts == {b" b": 90, b" a": 60, b" c": 30}
-    assert bpe.fit(rows, size=2).words == 2 and bpe.fit(empty(spark)).words == 0
+    assert bpe.fit(rows, size=2).words == 2 and bpe.fit(rows, size=0).words == bpe.fit(empty(spark)).words == 0
 
 
 def test_odd_rows(spark, tokenizer):
@@ -107,6 +118,8 @@ def test_odd_rows(spark, tokenizer):
         assert np.frombuffer(r["ids"], dtype="<u4").tolist() == tokenizer.encode(r["text"] or "", add_special_tokens=False).ids
         assert r["decoded"] == (r["text"] or "")
     assert bpe.decode(bpe.encode(empty(spark), lexicon), lexicon).count() == 0
+    same = bpe.encode(table_, lexicon, decoded="decoded").select("ids", "decoded")
+    assert sorted(map(str, same.collect())) == sorted(str(Row(ids=r["ids"], decoded=r["decoded"])) for r in got)
 
 
 def test_query_equals_the_library(spark, tokenizer):

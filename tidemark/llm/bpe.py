@@ -12,6 +12,7 @@ import json
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
@@ -26,14 +27,17 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_dir
 
 from . import automaton
-from .common import SLICE_BYTES, byte_column, from_texts, slices
+from .common import byte_column, from_texts, slices, stored
 from .tokens import VOCABULARY
 
-#: The lexicon holds so many most frequent words, none of more than so many bytes; all others are merged.
-LEXICON, WORD_BYTES = 65_536, 64
+#: The lexicon holds at most so many of the most frequent words, none of more than so many bytes; all others are merged.
+LEXICON, WORD_BYTES = 100_000, 64
 
-#: Distinct words that a task counts, or keeps the ids of, before it lets go of them.
-KEPT_WORDS = 200_000
+#: Bytes that are handled at once: the arrays over their characters and words take about 60 times as much.
+PART_BYTES = 1_000_000
+
+#: Distinct words that a task counts before it lets go of them.
+KEPT_WORDS = 100_000
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 
@@ -117,6 +121,77 @@ def merged(ids: list[int], pair_rank: dict[int, int], made: list[int]) -> list[i
     return [x for x in ids if x >= 0]
 
 
+class Merges:
+    """The merges of a vocabulary, applied to one word or to many of bounded length at a time."""
+
+    def __init__(self, tables: dict[str, np.ndarray]):
+        self.byte_ids, self.made = tables["byte_ids"], np.append(tables["made"], 0)
+        self.order = np.argsort(tables["pairs"])
+        self.pairs = np.append(tables["pairs"][self.order], 1 << 62)
+        self.none = len(tables["pairs"])
+        self.by_pair: dict[int, int] = {}
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair, ``none`` for pairs that do not merge."""
+        pair = a << 32 | b
+        at = np.searchsorted(self.pairs, pair)
+        return np.where(self.pairs[at] == pair, np.append(self.order, self.none)[at], self.none)
+
+    def one(self, word: bytes) -> list[int]:
+        """Ids of a word of any length."""
+        if not self.by_pair:
+            order = np.argsort(self.order)
+            self.by_pair = {p: r for r, p in enumerate(self.pairs[order].tolist())}
+            self.made_list = self.made.tolist()
+        return merged(self.byte_ids[np.frombuffer(word, dtype=np.uint8)].tolist(), self.by_pair, self.made_list)
+
+    def many(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and how many each has. All words take a merge in each round."""
+        counts = np.zeros(len(starts), dtype=np.int64)
+        parts, owners = [], []
+        for low, high in ((0, 4), (4, 8), (8, 16), (16, 32), (32, WORD_BYTES)):
+            mine = np.flatnonzero((lengths > low) & (lengths <= high))
+            for at in range(0, len(mine), 20_000):
+                rows = mine[at : at + 20_000]
+                ids, n = self._matrix(data, starts[rows], lengths[rows], high)
+                counts[rows] = n
+                parts.append(ids[np.arange(high) < n[:, None]])
+                owners.append(np.repeat(rows, n))
+        if not parts:
+            return np.empty(0, dtype=np.int64), counts
+        return np.concatenate(parts)[np.argsort(np.concatenate(owners), kind="stable")], counts
+
+    def _matrix(self, data, starts, lengths, width) -> tuple[np.ndarray, np.ndarray]:
+        column = np.arange(width)
+        inside = column < lengths[:, None]
+        ids = np.where(inside, self.byte_ids[data[np.minimum(starts[:, None] + column, len(data) - 1)]], 0)
+        rank = np.full(ids.shape, self.none)
+        both = inside[:, 1:]
+        rank[:, :-1][both] = self.ranks(ids[:, :-1][both], ids[:, 1:][both])
+        n, done, left = lengths.copy(), ids, np.arange(len(ids))
+        while len(left):
+            best = rank.argmin(axis=1)
+            row = np.arange(len(left))
+            found = rank[row, best]
+            on = found < self.none
+            if not on.all():
+                done[left[~on]] = ids[~on]
+                left, ids, rank, best, found = left[on], ids[on], rank[on], best[on], found[on]
+                row = row[: len(left)]
+            if not len(left):
+                break
+            n[left] -= 1
+            # All behind the pair moves up by one place.
+            source = np.minimum(column + (column > best[:, None]), width - 1)
+            ids, rank = np.take_along_axis(ids, source, 1), np.take_along_axis(rank, source, 1)
+            ids[row, best] = self.made[found]
+            rank[:, -1] = self.none
+            rank[row, best] = np.where(best + 1 < n[left], self.ranks(ids[row, best], ids[row, np.minimum(best + 1, width - 1)]), self.none)
+            back = best > 0
+            rank[row[back], best[back] - 1] = self.ranks(ids[row[back], best[back] - 1], ids[row[back], best[back]])
+        return done, n
+
+
 def _byte_letters() -> dict[str, int]:
     """Printable letter of each byte in byte-level vocabularies: itself, or the next free one from 256 on."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -149,6 +224,12 @@ def vocabulary_tables(path: str) -> dict[str, np.ndarray]:
     }
 
 
+def _spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... (count places) of each entry, one after the other."""
+    upto = np.cumsum(count)
+    return np.repeat(begin - upto + count, count) + np.arange(int(upto[-1]) if len(upto) else 0)
+
+
 def _valid(texts: list[bytes]) -> bytes:
     data = b"".join(texts)
     try:
@@ -169,21 +250,7 @@ class _Encoder:
         self.special = {spelled[a:b]: i for a, b, i in zip([0, *ends], ends, tables["special_ids"].tolist())}
         # Where two start alike, the longest is meant.
         self.marks = re.compile(b"|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) or rb"(?!)")
-        self.rank_of_pair: dict = {}
-        self.unseen: dict[bytes, list[int]] = {}
-
-    def merged(self, word: bytes) -> list[int]:
-        ids = self.unseen.get(word)
-        if ids is None:
-            if not self.rank_of_pair:
-                self.rank_of_pair = {p: r for r, p in enumerate(self.t["pairs"].tolist())}
-                self.made = self.t["made"].tolist()
-            ids = merged(self.t["byte_ids"][np.frombuffer(word, dtype=np.uint8)].tolist(), self.rank_of_pair, self.made)
-            if len(self.unseen) > KEPT_WORDS:
-                self.unseen.clear()
-            if len(word) <= WORD_BYTES:
-                self.unseen[word] = ids
-        return ids
+        self.merges = Merges(tables)
 
     def words(self, texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, list[tuple[int, int]]]:
         """Text without specials, byte starts of its words, starts of the texts in it, (place, id) of each special."""
@@ -215,16 +282,19 @@ class _Encoder:
         known = rank >= 0
         begin = np.where(known, t["ids_begin"][rank], 0)
         count = np.where(known, t["ids_begin"][rank + 1] - begin, 0)
-        other = np.flatnonzero(~known)
-        slow = [self.merged(data[a : a + n]) for a, n in zip(starts[other].tolist(), lengths[other].tolist())]
-        count[other] = [len(x) for x in slow]
+        bytes_ = np.frombuffer(data, dtype=np.uint8)
+        short = np.flatnonzero(~known & (lengths <= WORD_BYTES))
+        short_ids, count[short] = self.merges.many(bytes_, starts[short], lengths[short])
+        far = np.flatnonzero(lengths > WORD_BYTES)
+        far_ids = [self.merges.one(data[a : a + n]) for a, n in zip(starts[far].tolist(), lengths[far].tolist())]
+        count[far] = [len(x) for x in far_ids]
         ends = np.cumsum(count)
         first = ends - count
         total = int(ends[-1]) if len(ends) else 0
-        spread = np.repeat(known, count)
         ids = np.empty(total, dtype="<u4")
-        ids[spread] = t["ids"][(np.repeat(begin - first, count) + np.arange(total))[spread]]
-        ids[~spread] = [x for xs in slow for x in xs]
+        ids[_spread(first[known], count[known])] = t["ids"][_spread(begin[known], count[known])]
+        ids[_spread(first[short], count[short])] = short_ids
+        ids[_spread(first[far], count[far])] = [x for xs in far_ids for x in xs]
         places = np.append(first, total)
         bounds = places[np.searchsorted(starts, np.append(begins, len(data)))]
         if inserted:
@@ -238,28 +308,46 @@ class _Encoder:
         return np.repeat(np.arange(len(texts)), [len(self.marks.findall(t)) for t in texts])
 
     def __call__(self, texts: list[bytes]) -> list[pa.Array]:
-        if sum(map(len, texts)) > 2 * SLICE_BYTES:
-            found = [self.long(t) for t in texts]
-        else:
-            found = self.ids(texts)
-        return [pa.array([x.tobytes() for x in found], pa.binary())]
+        out = []
+        for part in _parts(texts):
+            found = self.ids(part) if len(part) > 1 else [self.long(t) for t in part]
+            out += [x.tobytes() for x in found]
+        return [pa.array(out, pa.binary())]
 
     def long(self, text: bytes) -> np.ndarray:
-        """Ids of one text, a few MB at a time."""
-        parts, at = [], 0
-        while at < len(text):
-            m = SAFE_CUT.search(text, at + SLICE_BYTES)
-            end = m.start() + 1 if m else len(text)
-            parts.append(self.ids([text[at:end]])[0])
-            at = end
+        """Ids of one text, piece by piece."""
+        parts = [self.ids([piece])[0] for piece in _pieces(text)]
         return np.concatenate(parts) if parts else np.empty(0, dtype="<u4")
 
 
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """The text cut into pieces of about ``PART_BYTES``, at places where a word starts in any case."""
+    at = 0
+    while at < len(text):
+        m = SAFE_CUT.search(text, at + PART_BYTES)
+        end = m.start() + 1 if m else len(text)
+        yield text[at:end]
+        at = end
+
+
+def _parts(rows: list[bytes]) -> Iterator[list[bytes]]:
+    """The rows in lists of at most ``PART_BYTES``, or one longer row."""
+    part, size = [], 0
+    for row in rows:
+        if part and size + len(row) > PART_BYTES:
+            yield part
+            part, size = [], 0
+        part.append(row)
+        size += len(row)
+    if part:
+        yield part
+
+
 def _decoder(tables: dict[str, np.ndarray]):
     ends, spelled = tables["token_ends"], tables["token_bytes"]
     widths = np.diff(ends, prepend=0)
 
-    def run(rows: list[bytes]) -> list[pa.Array]:
+    def texts_of(rows: list[bytes]) -> list[bytes]:
         ids = np.minimum(np.frombuffer(b"".join(rows), dtype="<u4"), len(ends) - 1)
         width = widths[ids]
         upto = np.cumsum(width)
@@ -268,9 +356,9 @@ def _decoder(tables: dict[str, np.ndarray]):
         places = np.append(0, upto)[np.append(0, np.cumsum([len(r) // 4 for r in rows], dtype=np.int64))].tolist()
         texts = [data[a:b] for a, b in zip(places[:-1], places[1:])]
         _valid(texts)
-        return [pa.array(texts, pa.binary())]
+        return texts
 
-    return run
+    return lambda rows: [pa.array([t for part in _parts(rows) for t in texts_of(part)], pa.binary())]
 
 
 @dataclass(frozen=True)
@@ -298,12 +386,14 @@ def word_counts(docs: DataFrame, text_col: str = "text", vocabulary: str | None
             counts.clear()
             return out
 
-        for part in slices(batches, text=0):
-            data, starts, *_ = encoder.words(byte_column(part.column(0)))
-            bounds = np.append(starts, len(data)).tolist()
-            counts.update([data[a:b] for a, b in zip(bounds, bounds[1:])])
-            if len(counts) > KEPT_WORDS:
-                yield batch()
+        for part in slices(batches, text=0, limit=PART_BYTES):
+            pieces = [piece for text in byte_column(part.column(0)) for piece in _pieces(text)]
+            for texts in _parts(pieces):
+                data, starts, *_ = encoder.words(texts)
+                bounds = np.append(starts, len(data)).tolist()
+                counts.update([data[a:b] for a, b in zip(bounds, bounds[1:])])
+                if len(counts) > KEPT_WORDS:
+                    yield batch()
         yield batch()
 
     texts = docs.select(F.col(text_col).cast("binary"))
@@ -314,12 +404,13 @@ def compile_words(spark: SparkSession, words: list[bytes], vocabulary: str | Non
     """Compile ``words`` with their ids and write the file to the shared folder, from where executors get it."""
     tables = vocabulary_tables(vocabulary or public_tokenizers.path(VOCABULARY))
     words = sorted({w for w in words if w and len(w) <= WORD_BYTES})
-    encoder = _Encoder(tables)
-    ids = [encoder.merged(w) for w in words]
+    lengths = np.array([len(w) for w in words], dtype=np.int64)
+    data = np.frombuffer(b"".join(words) or b" ", dtype=np.uint8)
+    ids, counts = Merges(tables).many(data, np.cumsum(lengths) - lengths, lengths)
     tables |= automaton.compiled(words)
     # Rank -1, an unseen word, reads entries that are then left unused.
-    tables["ids_begin"] = np.append(0, np.cumsum([len(x) for x in ids], dtype=np.int64))
-    tables["ids"] = np.array([x for xs in ids for x in xs] or [0], dtype=np.uint32)
+    tables["ids_begin"] = np.append(0, np.cumsum(counts))
+    tables["ids"] = np.append(ids, 0).astype(np.uint32)
     path = scratch_dir(spark, "lexicon")
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(jvm_path)
@@ -330,21 +421,48 @@ def compile_words(spark: SparkSession, words: list[bytes], vocabulary: str | Non
 
 
 def fit(docs: DataFrame, text_col: str = "text", size: int = LEXICON, vocabulary: str | None = None) -> Lexicon:
-    """Lexicon of the ``size`` most frequent words of all ``docs`` (ties by bytes); only those reach the driver."""
-    counts = word_counts(docs, text_col, vocabulary).where(F.length("word") <= WORD_BYTES)
-    top = counts.orderBy(F.desc("n"), "word").limit(size).select("word").collect()
-    return compile_words(docs.sparkSession, [bytes(r["word"]) for r in top], vocabulary)
+    """Lexicon of the most frequent words of all ``docs``, at most ``size``; only those reach the driver.
 
-
-def encode(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    Frequencies fall into classes, 16 to a doubling; the lexicon takes whole classes, from the highest down, as long as
+    they fit. So a histogram of a few hundred rows chooses it, however many words there are.
+    """
+    counts = stored(word_counts(docs, text_col, vocabulary).where(F.length("word") <= WORD_BYTES), "words")
+    level = F.floor(F.log2("n") * 16)
+    histogram = sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).collect(), reverse=True)
+    least, taken = None, 0
+    for row in histogram:
+        taken += row["words"]
+        if taken > size:
+            break
+        least = row["level"]
+    words = [] if least is None else counts.where(level >= least).select("word").collect()
+    return compile_words(docs.sparkSession, [bytes(r["word"]) for r in words], vocabulary)
+
+
+def encode(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", keep_text: bool = True, decoded: str | None = None) -> DataFrame:
     """``docs`` with ``ids``: those of each whole text as little-endian unsigned 32-bit integers, as packed files hold them.
 
     Equal to the vocabulary's own encoding without special tokens added; strings of special tokens inside a text become
-    their ids. NULL and empty texts have no ids. Invalid UTF-8 is read as U+FFFD. Other columns pass through; one that is
-    named ids is replaced. Rows are handled one by one, repeated or not; an empty table gives no rows. Very long texts
-    are encoded a few MB at a time. There is no shuffle.
+    their ids. ``decoded`` names a column for what the ids decode to, in the same pass. NULL and empty texts have no
+    ids. Invalid UTF-8 is read as U+FFFD. Other columns pass through; one that is named as a new one is replaced. Rows
+    are handled one by one, repeated or not; an empty table gives no rows. Very long texts are encoded piece by piece.
+    There is no shuffle.
     """
-    return from_texts(docs, text_col, "ids binary", lambda: _Encoder(lexicon.tables()), keep_text)
+    if not decoded:
+        return from_texts(docs, text_col, "ids binary", lambda: _Encoder(lexicon.tables()), keep_text)
+
+    def make():
+        tables = lexicon.tables()
+        encoder, decoder = _Encoder(tables), _decoder(tables)
+
+        def both(texts: list[bytes]) -> list[pa.Array]:
+            (ids,) = encoder(texts)
+            return [ids, *decoder(ids.to_pylist())]
+
+        return both
+
+    out = from_texts(docs, text_col, f"ids binary, {decoded} binary", make, keep_text)
+    return out.withColumn(decoded, F.col(decoded).cast("string"))
 
 
 def decode(rows: DataFrame, lexicon: Lexicon, ids_col: str = "ids", name: str = "decoded") -> DataFrame:

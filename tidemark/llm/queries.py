@@ -244,8 +244,7 @@ def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lexicon = bpe.fit(docs)
-    coded = bpe.decode(bpe.encode(docs, lexicon, keep_text=False), lexicon)
+    coded = bpe.encode(docs, bpe.fit(docs), keep_text=False, decoded="decoded")
     return coded.select(
         "doc_id",
         F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"),
