@@ -171,6 +171,10 @@ def build_index(rows: DataFrame, id_col: str, vector_col: str, copies: int, shar
     return stored(dealt.groupBy("dim", "shard").applyInArrow(build, INDEX_SCHEMA), "graphs")
 
 
+#: Rows and columns, at most, of the grid that shards and query blocks are dealt to.
+GRID = 32
+
+
 def nearest(index: DataFrame, queries: DataFrame, id_col: str, vector_col: str, k: int = 5, beam: int = SEARCH_BEAM,
             block_queries: int = BLOCK_QUERIES, degree: int = DEGREE) -> DataFrame:
     """The ``k`` nearest that are found for each query: query_id, rank, vec_id and score, its cosine.
@@ -189,7 +193,18 @@ def nearest(index: DataFrame, queries: DataFrame, id_col: str, vector_col: str,
     grouped = asked.groupBy(F.size("v").alias("dim"), block.alias("block")).agg(
         F.collect_list("id").alias("qids"), F.flatten(F.collect_list("v")).alias("qv")
     )
-    pairs = index.join(grouped, "dim").select("dim", "start", "ids", "vectors", "edges", "qids", "qv")
+    # Shards in rows and blocks in columns of a grid: each of its cells is a task that joins its row with its column, so
+    # a shard is sent to each column and a block to each row, and no task or broadcast grows with either number.
+    rows, columns = min(GRID, max(1, index.count())), min(GRID, blocks)
+    cell = ["dim", "grid_row", "grid_column"]
+    left = index.withColumn("grid_row", F.pmod(F.xxhash64("dim", "shard"), F.lit(rows))).withColumn(
+        "grid_column", F.explode(F.expr(f"sequence(0L, {columns - 1}L)"))
+    )
+    right = grouped.withColumn("grid_column", F.pmod("block", F.lit(columns))).withColumn(
+        "grid_row", F.explode(F.expr(f"sequence(0L, {rows - 1}L)"))
+    )
+    left, right = (side.repartition(rows * columns, *cell) for side in (left, right))
+    pairs = left.join(right.hint("shuffle_hash"), cell).select("dim", "start", "ids", "vectors", "edges", "qids", "qv")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
