@@ -1,4 +1,6 @@
+import random
 import re
+import string
 
 from helpers import ODD_TEXTS, docs, empty, prose
 from pyspark.sql import functions as F
@@ -39,6 +41,37 @@ def test_base_spans_equal_brute_force_and_random_strings_are_added(spark):
         assert random == ([RANDOM] if index in (15, 22) or r["doc_id"] == 300 else []), r["doc_id"]
 
 
+LETTERS = "qzkvpxtlmbwrsydhnjfgcqxz"
+
+
+def test_letters_alone_and_doubled_are_tested_by_the_ratio(spark):
+    words = ["internationalization_of_things", "aVeryLongCamelCaseIdentifierName", "a-long-name-with-parts-and-9000", "2024-01-02_030405-0607/0809", "x" * 3000]
+    texts = [f"a {LETTERS} b", f"a {LETTERS}-{LETTERS} b", f"a {LETTERS.upper()} b", *words]
+    found = {r["doc_id"]: [tuple(s)[1:] for s in r["secrets"]] for r in secret_scan.secrets(docs(spark, list(enumerate(texts)))).collect()}
+    assert found == {0: [(2, 26)], 1: [(2, 51)], 2: [(2, 26)], **{k: [] for k in range(3, len(texts))}}
+
+
+def test_an_address_counts_however_long_it_is(spark):
+    far = "a.b" * 5000
+    texts = [f"https://x.org/{far}:{RANDOM}", f"{RANDOM}:{far}@mail.org", f"https://x.org/{far} {RANDOM}", f"{RANDOM}\n{far}@mail.org"]
+    found = {r["doc_id"]: len(r["secrets"]) for r in secret_scan.secrets(docs(spark, list(enumerate(texts)))).collect()}
+    assert found == {0: 0, 1: 0, 2: 1, 3: 1}
+
+
+def test_planted_strings_are_found_among_prose(spark):
+    """Of 300 random strings of several alphabets at least 99 in 100 are found, and nothing else in the prose."""
+    rng, rows, alphabets = random.Random(5), [], (string.ascii_lowercase, string.ascii_letters, string.ascii_letters + string.digits + "+/_-")
+    for k in range(300):
+        rows.append((k, f"{prose(k, 60)} {''.join(rng.choices(alphabets[k % 3], k=rng.randint(24, 64)))} {prose(k + 999, 60)}"))
+    hit, other = 0, 0
+    for r in secret_scan.secrets(docs(spark, rows)).collect():
+        words = dict(rows)[r["doc_id"]].split(" ")
+        spans = [r["text"][s["start"] : s["end"]] for s in r["secrets"]]
+        hit += words[60] in spans
+        other += sum(x != words[60] for x in spans)
+    assert hit >= 297 and other == 0, (hit, other)
+
+
 def test_redaction(spark):
     rows = docs(spark, [(1, f"é {RANDOM} b password=abcdef"), (2, "token=0123456789abcdef01234567"), (3, None), (4, "clean")])
     found = secret_scan.secrets(rows).select("doc_id", secret_scan.redacted(F.col("text"), F.col("secrets")).alias("t"))

@@ -1,7 +1,8 @@
 """Secrets in texts: fixed patterns, and random strings exposed by their low token efficiency.
 
 A byte-pair vocabulary packs words into few tokens and random strings into many. A run of key characters is a secret
-when it yields fewer than ``MAX_RATIO`` characters per token, unless it is a known digest or an identifier.
+when it yields fewer than ``MAX_RATIO`` characters per token, letters alone included, unless it is a known digest or an
+identifier.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 UUID = rb"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
 
 _HEX_CHARS = np.isin(np.arange(256), list(b"0123456789abcdef"))
+_JOINT = rb"[+/_=-]+"
+_SPACE = np.isin(np.arange(256), list(b" \t\n\r\f\v"))
 _KEY_CHARS = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"))
 
 
@@ -47,14 +50,36 @@ def _runs(member: np.ndarray, least: int) -> list[tuple[int, int]]:
     return list(zip(start[long].tolist(), end[long].tolist(), strict=True))
 
 
-def is_known(run: bytes, word: bytes) -> bool:
-    """Whether a run is a digest or an identifier; ``word`` is what stands around it up to white space."""
+def is_known(run: bytes) -> bool:
+    """Whether a run is a digest, a UUID, or numbers joined by separators (dates, versions, telephone numbers)."""
     if len(run) in DIGEST_LENGTHS and re.fullmatch(rb"[0-9a-f]+|[0-9A-F]+", run):
         return True
-    if b"://" in word or b"@" in word or re.fullmatch(UUID, run):
-        return True
-    # Names, numbers and what is joined from them by separators.
-    return all(re.fullmatch(rb"[A-Za-z]*|[0-9]*", part) for part in re.split(rb"[+/_=-]", run))
+    return bool(re.fullmatch(UUID, run) or re.fullmatch(rb"[0-9+/_=-]+", run))
+
+
+def tokens_of(run: bytes, encode) -> int:
+    """Tokens of a run. Separators of a name (parts of letters or of digits alone) read as spaces: they are no sign of chance."""
+    name = all(re.fullmatch(rb"[A-Za-z]*|[0-9]*", part) for part in re.split(_JOINT, run))
+    return len(encode((re.sub(_JOINT, b" ", run) if name else run).decode()))
+
+
+def _addresses(joined: bytes, codes: np.ndarray):
+    """A function of rising positions: whether the word there, up to white space on both sides, is a URL or an address.
+
+    The whole word counts, however long; each is looked at once.
+    """
+    gaps = np.flatnonzero(_SPACE[codes])
+    start, end, found = 0, 0, False
+
+    def inside(position: int) -> bool:
+        nonlocal start, end, found
+        if position >= end:
+            k = int(np.searchsorted(gaps, position))
+            start, end = int(gaps[k - 1]) + 1 if k else 0, int(gaps[k]) if k < len(gaps) else len(joined)
+            found = joined.find(b"://", start, end) >= 0 or joined.find(b"@", start, end) >= 0
+        return found
+
+    return inside
 
 
 def find_secrets(texts: list[bytes], encode) -> list[list[tuple[int, int, int]]]:
@@ -78,10 +103,9 @@ def find_secrets(texts: list[bytes], encode) -> list[list[tuple[int, int, int]]]
         found[k].append((2, a - zero, b - zero))
     # Of each text: the starts of its spans so far, and the furthest end up to each.
     covered, added = {}, []
+    is_address = _addresses(joined, codes)
     for a, b in _runs(_KEY_CHARS[codes], RANDOM_LEAST):
         run = joined[a:b]
-        if run.isalpha():
-            continue
         k, zero = at(a)
         if found[k] and k not in covered:
             spans = sorted(x[1:] for x in found[k])
@@ -89,8 +113,7 @@ def find_secrets(texts: list[bytes], encode) -> list[list[tuple[int, int, int]]]
         before = bisect_left(covered[k][0], b - zero) if k in covered else 0
         if before and covered[k][1][before - 1] > a - zero:
             continue
-        word = re.search(rb"\S*$", joined[max(zero, a - 256) : a])[0] + re.match(rb"\S*", joined[a : b + 256])[0]
-        if not is_known(run, word) and len(run) < MAX_RATIO * len(encode(run.decode())):
+        if not is_address(a) and not is_known(run) and len(run) < MAX_RATIO * tokens_of(run, encode):
             added.append((k, (3, a - zero, b - zero)))
     for k, span in added:
         found[k].append(span)
