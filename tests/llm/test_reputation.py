@@ -1,3 +1,5 @@
+import time
+
 from tidemark.llm import reputation
 from tidemark.llm.queries import RULES
 
@@ -46,3 +48,16 @@ def test_bad_hosts_are_blocked_and_little_evidence_is_shrunk(spark):
 def test_empty_tables_and_repeated_rows(spark):
     assert judge(spark, [], [(1, 1)]).count() == 0
     assert judge(spark, [(1, "x://a.com/"), (1, "x://a.com/"), (1, "x://b.com/")], [(1, 1), (1, 0)]).count() == 3
+
+
+def test_doubt_of_a_parent_reaches_its_children(spark):
+    """One bad outcome in all says too little to block another host of the suffix."""
+    got = {r["host"]: (r["verdict"], r["bound"]) for r in judge(spark, [(1, "x://a.com/"), (2, "x://b.com/"), (3, "x://c.net.ru/")], [(1, 1)]).collect()}
+    assert got["b.com"][0] == "allow" and got["c.net.ru"][0] == "allow" and got["b.com"][1] < got["a.com"][1]
+
+
+def test_a_host_of_very_many_labels(spark):
+    start = time.time()
+    host = "a." * 200_000 + "net"
+    got = judge(spark, [(1, f"x://{host}/p"), (2, f"x://{host}.org/fr/")], []).collect()
+    assert {r[0]: r["rule"] for r in got} == {1: "net/", 2: "org/fr/"} and time.time() - start < 60

@@ -140,13 +140,14 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _shrunk(children: str, parents: str, key: str, parent: str) -> str:
     return f"""
-    SELECT {key}, {parent}, n, bad, (k * prior + bad) / (k + n) AS mean, k + n AS strength FROM (
-        SELECT c.*, p.mean AS prior,
+    SELECT *, mean * (1 - mean) / (k + n + 1) + (k / (k + n)) ** 2 * prior_doubt AS doubt FROM (
+    SELECT {key}, {parent}, n, bad, k, prior_doubt, (k * prior + bad) / (k + n) AS mean FROM (
+        SELECT c.*, p.mean AS prior, p.doubt AS prior_doubt,
                1 / greatest({reputation.LEAST_RHO}, least({reputation.MOST_RHO}, coalesce(
                    sum(CASE WHEN c.n > 0 THEN (c.bad - c.n * p.mean) ** 2 / c.n - p.mean * (1 - p.mean) END) OVER ()
                    / nullif(sum(CASE WHEN c.n > 0 THEN p.mean * (1 - p.mean) * (c.n - 1) END) OVER (), 0),
                    {reputation.MOST_RHO}))) - 1 AS k
-        FROM {children} c JOIN {parents} p USING ({parent}))"""
+        FROM {children} c JOIN {parents} p USING ({parent})))"""
 
 
 SQL["op6_url_filter"] = rf"""
@@ -170,12 +171,14 @@ hosts AS (
                coalesce(sum(bad), 0) AS bad FROM outcomes GROUP BY 1)),
 domains AS (SELECT domain, string_split(domain, '.')[-1] AS suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1),
 suffixes AS (SELECT suffix, 0 AS whole, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY 1),
-everything AS (SELECT whole, (sum(bad) + 1) / (sum(n) + 2) AS mean FROM suffixes GROUP BY 1),
+everything AS (
+    SELECT whole, mean, mean * (1 - mean) / (n + 3) AS doubt
+    FROM (SELECT whole, sum(n) AS n, (sum(bad) + 1) / (sum(n) + 2) AS mean FROM suffixes GROUP BY 1)),
 suffix_scores AS ({_shrunk('suffixes', 'everything', 'suffix', 'whole')}),
 domain_scores AS ({_shrunk('domains', 'suffix_scores', 'domain', 'suffix')}),
 host_scores AS ({_shrunk('hosts', 'domain_scores', 'host', 'domain')})
 SELECT s.page_id, s.host, s.path, f.rule,
-       coalesce(f.rule_verdict, CASE WHEN h.mean - {reputation.Z} * sqrt(h.mean * (1 - h.mean) / (h.strength + 1))
+       coalesce(f.rule_verdict, CASE WHEN h.mean - {reputation.Z} * sqrt(h.doubt)
                                           > {reputation.BAD_RATE} THEN 'block' ELSE 'allow' END) AS verdict
 FROM seen s JOIN host_scores h USING (host) LEFT JOIN fits f ON f.host = s.host AND f.path = s.path
 """

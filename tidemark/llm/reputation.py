@@ -2,8 +2,8 @@
 
 Labelled page outcomes are counted per host and shrunk in steps: a suffix towards all pages, a registered domain towards
 its suffix, a host towards its domain. Each step is a beta-binomial prior whose mean is the parent's posterior mean and
-whose strength is estimated from how much the children's rates vary beyond chance. A host is blocked when the lower
-bound of its posterior bad rate is above a limit. All of it is grouping and equality joins on hosts, never on pages.
+whose strength is estimated from how much the children's rates vary beyond chance. A posterior carries the doubt of its
+parent's mean, weighted as that mean is. A host is blocked when the lower bound of its posterior bad rate is above a limit. All of it is grouping and equality joins on hosts, never on pages.
 """
 
 from __future__ import annotations
@@ -42,9 +42,10 @@ def _last_labels(host: Column, n: int) -> Column:
 
 
 def shrunk(children: DataFrame, key: str) -> DataFrame:
-    """(key, mean, strength) of ``children`` (key, n, bad, prior): the posterior mean, and prior strength plus n.
+    """(key, mean, doubt) of ``children`` (key, n, bad, prior, prior_doubt): posterior mean and variance.
 
-    The moments of all children give one prior strength for the level.
+    The moments of all children give one prior strength for the level. The variance is that of the child around its
+    mean, and that of the prior mean as far as the child's mean rests on it.
     """
     variance = F.col("prior") * (1 - F.col("prior"))
     # A child without outcomes says nothing.
@@ -52,9 +53,11 @@ def shrunk(children: DataFrame, key: str) -> DataFrame:
     weight = F.when(F.col("n") > 0, variance * (F.col("n") - 1))
     e, w = children.agg(F.sum(excess), F.sum(weight)).first()
     rho = max(LEAST_RHO, min(MOST_RHO, e / w if w else MOST_RHO))
-    k = 1 / rho - 1
-    mean = (F.lit(k) * F.col("prior") + F.col("bad")) / (F.lit(k) + F.col("n"))
-    return children.select(key, mean.alias("mean"), (F.lit(k) + F.col("n")).alias("strength"))
+    k = F.lit(1 / rho - 1)
+    mean = (k * F.col("prior") + F.col("bad")) / (k + F.col("n"))
+    share = k / (k + F.col("n"))
+    own = F.col("mean") * (1 - F.col("mean")) / (k + F.col("n") + 1)
+    return children.withColumn("mean", mean).select(key, "mean", (own + share * share * F.col("prior_doubt")).alias("doubt"))
 
 
 def reputations(counts: DataFrame) -> DataFrame:
@@ -68,23 +71,32 @@ def reputations(counts: DataFrame) -> DataFrame:
     counted = [F.sum("n").alias("n"), F.sum("bad").alias("bad")]
     domains = stored(hosts.groupBy("domain", "suffix").agg(*counted), "domains")
     suffixes = domains.groupBy("suffix").agg(*counted)
-    n, bad = suffixes.agg(F.sum("n"), F.sum("bad")).first()
-    prior = F.col("mean").alias("prior")
-    suffixes = stored(shrunk(suffixes.withColumn("prior", F.lit(((bad or 0) + 1) / ((n or 0) + 2))), "suffix"), "suffixes")
-    domains = domains.join(suffixes.select("suffix", prior), "suffix")
+    n, bad = (x or 0 for x in suffixes.agg(F.sum("n"), F.sum("bad")).first())
+    # All pages: a uniform prior.
+    mean = (bad + 1) / (n + 2)
+    whole = suffixes.withColumn("prior", F.lit(mean)).withColumn("prior_doubt", F.lit(mean * (1 - mean) / (n + 3)))
+    prior = [F.col("mean").alias("prior"), F.col("doubt").alias("prior_doubt")]
+    suffixes = stored(shrunk(whole, "suffix"), "suffixes")
+    domains = domains.join(suffixes.select("suffix", *prior), "suffix")
     domains = stored(shrunk(domains, "domain"), "domain-scores")
-    done = shrunk(hosts.join(domains.select("domain", prior), "domain"), "host")
-    spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("strength") + 1))
-    return done.select("host", "mean", (F.col("mean") - Z * spread).alias("bound"))
+    done = shrunk(hosts.join(domains.select("domain", *prior), "domain"), "host")
+    return done.select("host", "mean", (F.col("mean") - Z * F.sqrt("doubt")).alias("bound"))
 
 
 def rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, rules): of each host the rules (size, rule, path, verdict) for it or a domain above it, longest first.
 
-    A list holds no more than the rules that name the host or one of its parents.
+    A host is met with its last labels, as many as some rule's host has, so the work is linear in a host's length. A list
+    holds no more than the rules that name the host or one of its parents.
     """
-    labels = F.split("host", "\\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
+    def labels(host):
+        return F.size(F.split(host, "\\."))
+
+    # At most one number per label of the longest rule.
+    sizes = [r[0] for r in rules.select(labels("host")).distinct().collect() if r[0] > 0]
+    if not sizes:
+        return hosts.select("host", F.lit(None).cast("array<struct<size:int,rule:string,path:string,verdict:string>>").alias("rules"))
+    parents = F.array_distinct(F.array(*[F.substring_index("host", ".", -n) for n in sorted(sizes)]))
     wide = hosts.select("host", F.explode(parents).alias("rule_host"))
     found = F.struct((F.length("rule_host") + F.length("path")).alias("size"), F.concat("rule_host", "path").alias("rule"), "path", "verdict")
     named = rules.select(F.col("host").alias("rule_host"), "path", "verdict")
