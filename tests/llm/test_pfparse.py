@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from helpers import ODD_TEXTS, docs, empty, prose
 
-from tidemark.llm import pfparse
+from tidemark.llm import common, pfparse
 
 
 def plain(texts, length):
@@ -50,3 +50,15 @@ def test_a_very_long_text_of_one_word_goes(spark):
 
 def test_empty_table(spark):
     assert pfparse.remove_repeats(empty(spark)).count() == 0
+
+
+def test_buckets_follow_the_bytes_and_leave_no_table(spark, monkeypatch):
+    monkeypatch.setattr(common, "BUCKET_BYTES", 1000)
+    rows = docs(spark, [(k, prose(k, 300)) for k in range(60)]).select("doc_id", "text")
+    held = common.bucketed(rows, "doc_id", "text", "held")
+    n = int(rows.selectExpr("ceil(sum(octet_length(text)) / 1000)").first()[0])
+    assert n > 60 and not spark.catalog.listTables(pattern="held_*")
+    joined = held.join(spark.range(60).withColumnRenamed("id", "doc_id").hint("merge"), "doc_id")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and f"SelectedBucketsCount: {n} out of {n}" in plan
+    assert joined.count() == 60

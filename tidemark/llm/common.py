@@ -31,17 +31,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+#: Bytes of a bucket, and the most buckets Spark writes by default; beyond that buckets grow.
+BUCKET_BYTES, MOST_BUCKETS = 64_000_000, 100_000
+
+
+def bucketed(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
     """``df`` stored in the shared scratch folder in buckets of ``key``: later joins on it move only their other side.
 
-    The table is known to the session's catalog by a name of its own.
+    There are as many buckets as the bytes of the column ``text`` ask for, and no fewer than shuffle partitions. The
+    session's catalog knows the table only while it is written and opened.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n = min(MOST_BUCKETS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES)))
     made = f"{name}_{path[-32:]}"
     df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(made)
-    return spark.table(made)
+    opened = spark.table(made)
+    # The files are the table's own folder and stay; the frame has their list and the buckets already.
+    spark.sql(f"DROP TABLE `{made}`")
+    return opened
 
 
 def fold(id_col: str, n: int) -> Column:

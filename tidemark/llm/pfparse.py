@@ -230,7 +230,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     numbered = docs.select(F.col(id_col).alias("doc"), text.alias("text"), F.monotonically_increasing_id().alias("row"))
     # Texts are shuffled this once; the joins below bring triggers and spans to them.
-    texts = bucketed(numbered, "row", "numbered")
+    texts = bucketed(numbered, "row", "text", "numbered")
     spans = stored(repeated_spans(texts.select("row", "text"), length, reach, group_rows), "repeats")
     start = F.struct(F.lit(b"").alias("kept"), F.lit(0).cast("long").alias("at"))
 
