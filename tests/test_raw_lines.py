@@ -30,3 +30,11 @@ def folders(monkeypatch, tmp_path):
 def test_parse_queries_store_no_lines(spark, folders, name):
     assert iq.query.__globals__["QUERIES"][name](spark, SF).count() > 0
     assert not folders
+
+
+def test_stream_parts_are_written_by_all_tasks(spark, folders, tmp_path):
+    spark.read.parquet(f"{SF}/events.parquet").repartition(3).write.parquet(str(tmp_path / "sf/events.parquet"))
+    ones = [F.col("event_timestamp") < "2024-01-16", F.col("event_timestamp") >= "2024-01-16"]
+    iq._sessions_of_parts(spark, str(tmp_path / "sf"), "1 hour", *ones)
+    parts = Path(dict(folders)["parts"])
+    assert [len(list((parts / f"part={n}").glob("*.parquet"))) for n in (0, 1)] == [3, 3]
