@@ -38,3 +38,13 @@ def test_stream_parts_are_written_by_all_tasks(spark, folders, tmp_path):
     iq._sessions_of_parts(spark, str(tmp_path / "sf"), "1 hour", *ones)
     parts = Path(dict(folders)["parts"])
     assert [len(list((parts / f"part={n}").glob("*.parquet"))) for n in (0, 1)] == [3, 3]
+
+
+def test_both_files_of_messages_hold_the_same_ids(spark, folders):
+    iq.query.__globals__["QUERIES"]["I3_pipeline_messages"](spark, SF)
+    folder = dict(folders)["messages"]
+    assert list(Path(folder).glob("part=1/*.gz"))
+    first, second = (spark.read.json(f"{folder}/part={n}").select("MessageId", "Body") for n in (1, 2))
+    events = spark.read.parquet(f"{SF}/events.parquet").count()
+    assert first.count() == second.count() == first.select("MessageId").distinct().count() == events
+    assert first.exceptAll(second).isEmpty()
