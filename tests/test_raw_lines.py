@@ -48,3 +48,24 @@ def test_both_files_of_messages_hold_the_same_ids(spark, folders):
     events = spark.read.parquet(f"{SF}/events.parquet").count()
     assert first.count() == second.count() == first.select("MessageId").distinct().count() == events
     assert first.exceptAll(second).isEmpty()
+
+
+def test_ingest_stores_lines_once_before_staging(spark, monkeypatch, tmp_path):
+    stored = {}
+
+    def cut(wh, df, name, seq):
+        stored[name] = df.columns
+        return silver_cut(wh, df, name, seq)
+
+    silver_cut = silver.cut
+    monkeypatch.setattr(silver, "cut", cut)
+    monkeypatch.setattr(jobs, "cut", cut)
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    lines = iq.raw_lines(spark, SF).unionByName(spark.createDataFrame([("no json",)], "value string"))
+    counts = jobs.ingest_batch(wh, lines, iq.OPTIONS, load="one")
+    assert [n for n, columns in stored.items() if {"raw_event", "value"} & set(columns)] == ["flat"]
+    assert counts["lines"] == lines.count() == counts["parsed_ok"] + counts["parse_dead"]
+    letters = spark.read.json(wh.path("dead_letters")).filter("stage = 'parse'")
+    assert letters.count() == counts["parse_dead"] and letters.filter("raw_event = 'no json'").count() == 1
+    assert wh.table("stg_events").count() == counts["staged_rows"]
+    assert wh.table("stg_events").filter("raw_event IS NULL").isEmpty()
