@@ -27,6 +27,7 @@ def folders(monkeypatch, tmp_path):
     return made
 
 
+@pytest.mark.parametrize("name", ["P6_flatten_events", "P10_backfill", "P3_parse_params", "P11_backfill_field"])
 def test_parse_queries_store_no_lines(spark, folders, name):
     assert iq.query.__globals__["QUERIES"][name](spark, SF).count() > 0
     assert not folders
