@@ -189,3 +189,18 @@ def test_versions_on_odd_rows(spark):
     )
     assert scd.as_of_join(days, dim, "k", "day", "left").count() == 9
     assert scd.versions_on(days.limit(0), dim, "k", "day").count() == 0
+
+
+def test_line_versions_are_dealt_by_the_number_of_lines(spark, monkeypatch):
+    """A task's rows, and so its memory, do not grow with the table: partitions do."""
+    from catalog import silver_queries
+    from catalog.registry import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    plain = content(QUERIES["S4_scd2_merge"](spark, sf))
+    monkeypatch.setattr(silver_queries, "TASK_ROWS", 400)
+    n = -(-silver_queries.read(spark, sf, "lineitem").count() // 400)
+    merged = QUERIES["S4_scd2_merge"](spark, sf)
+    assert n > 8 and merged.rdd.getNumPartitions() == n
+    assert QUERIES["S6_open_versions"](spark, sf).rdd.getNumPartitions() == n
+    assert content(merged) == plain
