@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from helpers import ODD_TEXTS, docs, empty, prose
 
-from tidemark.llm import langid, linear, quality, toxicity
+from tidemark.llm import common, langid, linear, quality, toxicity
 
 
 def test_ngram_ids_are_equal_only_for_equal_grams():
@@ -155,3 +155,56 @@ def test_a_long_text_read_in_stretches_has_the_same_ngrams():
     text = prose(1, 3000).encode()
     whole = toxicity._ids(text, (3, 4, 5, 6), 16, mark)
     assert sorted(whole) == sorted(toxicity._ids(text, (3, 4, 5, 6), 16, mark, stretch=1000))
+
+
+def test_quality_learns_and_cuts_over_all_labels(spark):
+    rows = [(i, prose(i, 5 + i % 60, 50).replace(" ", "## " if i % 20 == 0 else " ")) for i in range(7000)]
+    train = spark.createDataFrame([(i, int(i % 20 > 0), 0) for i, _ in rows], LABELS)
+    frame = docs(spark, rows)
+    model = quality.fit(frame, train, "label", block=1000)
+    assert np.allclose(model.mean, np.mean([quality.features(t.encode()) for _, t in rows], axis=0))
+    scores = [r["score"] for r in quality.score(frame, model).collect()]
+    assert sum(s < quality.KEEP_AT for s in scores) == 350
+
+
+@pytest.mark.parametrize("poor,good", [(3, 1000), (1000, 3), (40, 200), (1, 1)])
+def test_blocks_hold_all_rows_and_both_labels(spark, poor, good):
+    rows = spark.range(poor + good, numPartitions=5).selectExpr(
+        "monotonically_increasing_id() AS row", f"int(id >= {poor}) AS label", "array(double(id)) AS x"
+    )
+    got = quality._blocks(common.stored(rows, "rows"), {0: poor, 1: good}, 50).collect()
+    assert len(got) == -(-max(poor, good) // 50) and all(len(r["poor"]) and len(r["good"]) for r in got)
+    for name, ids in (("poor", range(poor)), ("good", range(poor, poor + good))):
+        held = [x[0] for r in got for x in r[name]]
+        assert set(held) == set(ids) and len(held) == max(len(ids), len(got))
+
+
+def test_nth_least_is_exact(spark):
+    values = np.round(np.random.default_rng(0).normal(0, 1, 3000), 2).tolist() + [7.5] * 200 + [1e-9, 2e-9]
+    frame = spark.createDataFrame([(v,) for v in values], "s double")
+    for nth in (0, 1500, 1501, 3001, 3100, len(values) - 1):
+        assert common.nth_least(frame, "s", nth, bins=4, most=20) == sorted(values)[nth]
+
+
+def test_toxicity_counts_and_fits_over_all_labels(spark, monkeypatch):
+    seen, counted, held = [], toxicity.gram_counts, toxicity._held
+    monkeypatch.setattr(toxicity, "gram_counts", lambda rows, *a: seen.append(rows.count()) or counted(rows, *a))
+    monkeypatch.setattr(toxicity, "_held", lambda rows, *a: seen.append(rows.count()) or held(rows, *a))
+    rows = [(i, prose(i, 6, 50) + (" snarkzig" if i % 10 == 0 else "")) for i in range(7000)]
+    frame = docs(spark, rows)
+    model = toxicity.fit(frame, spark.createDataFrame([(i, int(i % 10 == 0), 0) for i, _ in rows], LABELS), "label", penalty=1e-3)
+    assert seen == [7000, 7000]
+    got = toxicity.score(frame, model).collect()
+    assert all((r["score"] >= 0.5) == (i % 10 == 0) for (i, _), r in zip(rows, got))
+    # At the least loss over all labels the mean score is the share of class 1 (smoothed).
+    assert abs(np.mean([r["score"] for r in got]) - 701 / 7002) < 1e-3
+
+
+def test_languages_are_counted_in_all_texts(spark):
+    rows = [(i, speech("aa", i, 3) + " ΟΔΟΣ", "aa") for i in range(3300)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), bits=10)
+    counts, table = np.zeros(1 << 10), langid.script_table()
+    for _, text, _ in rows:
+        start, end, _ = langid.words_in(text, table)
+        np.add.at(counts, langid.word_grams([text[a:b] for a, b in zip(start, end)], langid.ORDERS, 10)[1], 1)
+    assert np.allclose(model.logs[:, 0], np.log((counts + 0.5) / (counts.sum() + 0.5 * (1 << 10))), atol=1e-5)

@@ -8,6 +8,7 @@ penalty, labels spans. A text's language is the one with most letters in its spa
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -44,8 +45,8 @@ SCRIPTS = {
 
 ORDERS, BITS = (2, 3, 4), 17
 
-#: Training documents of each language, about; the share of a language's letters from which it uses a script.
-SAMPLE, SCRIPT_SHARE = 3000, 0.01
+#: The share of a language's letters from which it uses a script.
+SCRIPT_SHARE = 0.01
 
 #: Cost of a change of language, and the most that one word counts against a language, in nats.
 SWITCH, WORST = 6.0, 12.0
@@ -98,24 +99,16 @@ class Model(NamedTuple):
     bits: int
 
 
-def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", key_col: str = "doc_id", sample: int = SAMPLE,
-        orders: tuple[int, ...] = ORDERS, bits: int = BITS) -> Model | None:
-    """A model of the rows with a language and a text; None if there are none.
-
-    N-grams are counted, in Spark, in about ``sample`` documents of each language, chosen by a hash of ``key_col``.
-    """
+def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", orders: tuple[int, ...] = ORDERS, bits: int = BITS) -> Model | None:
+    """A model of all rows with a language and a text; None if there are none. N-grams are counted in Spark."""
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(key_col).alias("key")
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("binary").alias("text")
     )
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    langs = sorted(sizes)
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
     if not langs:
         return None
-    top = 1 << 53
-    quota = [(x, k, int(min(1.0, sample / sizes[x]) * top)) for k, x in enumerate(langs)]
-    wanted = docs.sparkSession.createDataFrame(quota, "lang string, number int, quota long")
-    chosen = rows.join(F.broadcast(wanted), "lang").where(F.pmod(F.xxhash64("key"), F.lit(top)) <= F.col("quota"))
-    chosen = chosen.select("number", F.col("text").cast("binary").alias("text"))
+    numbers = docs.sparkSession.createDataFrame([(x, k) for k, x in enumerate(langs)], "lang string, number int")
+    numbered = rows.join(F.broadcast(numbers), "lang").select("number", "text")
     scripts, n_langs = len(SCRIPTS) + 2, len(langs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,20 +116,24 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", key_col
         counts = np.zeros((n_langs, 1 << bits), dtype=np.int64)
         letters = np.zeros((n_langs, scripts), dtype=np.int64)
         for part in slices(batches):
+            words: list[Counter] = [Counter() for _ in range(n_langs)]
             for k, raw in zip(part.column(0).to_pylist(), byte_column(part.column(1)), strict=True):
                 text = raw.decode("utf-8", "replace")
                 start, end, script = words_in(text, table)
-                if len(start):
-                    grams = word_grams([text[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)], orders, bits)[1]
-                    np.add.at(counts[k], grams, 1)
-                    np.add.at(letters[k], script, end - start)
+                words[k].update([text[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+                letters[k] += np.bincount(script, end - start, scripts).astype(np.int64)
+            # Each word of these texts is cut into n-grams once.
+            for k, held in enumerate(words):
+                if held:
+                    owner, grams = word_grams(list(held), orders, bits)
+                    counts[k] += np.bincount(grams, np.array(list(held.values()))[owner], 1 << bits).astype(np.int64)
         for k in range(n_langs):
             for kind, found in ((0, counts[k]), (1, letters[k])):
                 ids = np.flatnonzero(found)
                 fixed = [pa.array(np.full(len(ids), x, dtype=np.int32)) for x in (k, kind)]
                 yield pa.RecordBatch.from_arrays([*fixed, pa.array(ids), pa.array(found[ids])], ["number", "kind", "id", "n"])
 
-    counted = chosen.mapInArrow(run, "number int, kind int, id long, n long").groupBy("number", "kind", "id")
+    counted = numbered.mapInArrow(run, "number int, kind int, id long, n long").groupBy("number", "kind", "id")
     # At most 2 ** bits rows and a few for each language.
     found = counted.agg(F.sum("n").alias("n")).toArrow()
     number, kind, ids, n = (found[c].to_numpy() for c in ("number", "kind", "id", "n"))

@@ -70,3 +70,24 @@ def minimize(gradient, start: np.ndarray, rounds: int, memory: int = 8) -> np.nd
         if gain < 1e-9 * max(1.0, abs(loss)):
             break
     return w
+
+
+def newton(derivatives, start: np.ndarray, rounds: int) -> np.ndarray:
+    """Newton's method with step halving; ``derivatives(w)`` returns (loss, gradient, Hessian) of a strictly convex loss."""
+    w = start
+    loss, g, h = derivatives(w)
+    for _ in range(rounds):
+        direction, step = np.linalg.solve(h, g), 1.0
+        slope = float(g @ direction)
+        if slope <= 1e-12:
+            break
+        for _ in range(30):
+            new = derivatives(w - step * direction)
+            if new[0] <= loss - 1e-4 * step * slope:
+                break
+            step /= 2
+        else:
+            break
+        w = w - step * direction
+        loss, g, h = new
+    return w

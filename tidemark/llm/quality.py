@@ -3,7 +3,8 @@
 The chance that document a is preferred to b is the logistic function of the difference of their scores, and a score is
 linear in features of the text. Preference pairs come from labels (a good document is preferred to a poor one); the
 weights minimise the logistic loss on the pairs' feature differences. The decision threshold is the quantile of the
-training scores at the share of poor documents, so the ranking alone decides what is kept.
+training scores at the share of poor documents, so the ranking alone decides what is kept. All labelled documents are
+in pairs and in the quantile: they are dealt to blocks, tasks make the pairs within blocks and sum up derivatives.
 """
 
 from __future__ import annotations
@@ -13,14 +14,14 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, from_texts, labelled_sample
-from .linear import minimize, sigmoid
+from .common import LOWER, free_name, from_texts, labelled, nth_least, stored, summed
+from .linear import newton, sigmoid
 
-#: Labelled documents of each class that the ranking is fitted on, at most, and pairs of them for each document.
-SAMPLE, PAIRS = 6000, 8
+#: Pairs for each document of the larger class, and how many of that class make a block.
+PAIRS, BLOCK = 8, 4096
 
 #: What the threshold's score is mapped to.
 KEEP_AT = 0.3
@@ -83,7 +84,9 @@ class Model(NamedTuple):
     threshold: float
 
 
-def _with_features(docs: DataFrame, text_col: str, name: str) -> DataFrame:
+def with_features(docs: DataFrame, text_col: str = "text", name: str = "features") -> DataFrame:
+    """``docs`` without its text and with ``name``, the features of the whole text (array of double)."""
+
     def make():
         def compute(texts: list[bytes]) -> list[pa.Array]:
             return [pa.array([features(t) for t in texts], pa.list_(pa.float64()))]
@@ -93,49 +96,96 @@ def _with_features(docs: DataFrame, text_col: str, name: str) -> DataFrame:
     return from_texts(docs, text_col, f"{name} array<double>", make, keep_text=False)
 
 
-def weighted_quantile(values: np.ndarray, weights: np.ndarray, share: float) -> float:
-    """The middle of the gap in the sorted values up to which ``share`` of the weight lies."""
-    order = np.argsort(values, kind="stable")
-    below = np.cumsum(weights[order]) / weights.sum()
-    k = int(np.searchsorted(below, share - 1e-9))
-    values = values[order]
-    if k + 1 < len(values) and abs(below[k] - share) < 1e-6:
-        return float((values[k] + values[k + 1]) / 2)
-    return float(values[k])
-
-
-def fit(docs: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_id", text_col: str = "text",
-        sample: int = SAMPLE, pairs: int = PAIRS, rounds: int = 200) -> Model:
-    """A model of the documents that ``labels`` (key, label) marks 1 (good) or 0 (poor), at most ``sample`` of each.
+def _blocks(rows: DataFrame, n: dict[int, int], size: int) -> DataFrame:
+    """(block, poor, good): the features of all ``rows`` (row, label, x) dealt to blocks that hold some of both labels.
 
-    A NULL text counts as empty. The key only decides which rows are sampled; the shares of the classes are those of
-    all labels. Without rows of both classes there is no pair: all texts then get the same score, kept if there is any
-    good row or no row at all.
+    ``row`` is what monotonically_increasing_id gives. A label with fewer rows than there are blocks has each of its
+    rows in several blocks, any other row is in one.
     """
-    rows, n = labelled_sample(docs, labels, key_col, label_col, text_col, sample)
+    count = -(-max(n.values()) // size)
+    part = F.shiftright("row", 33)
+    held = rows.groupBy("label", part.alias("part")).agg(F.count("*").alias("n"))
+    # One row a label and a file's part.
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("label").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    nth = F.row_number().over(Window.partitionBy("label", "part").orderBy("row")) - 1
+    ranked = rows.withColumn("part", part).withColumn("nth", nth).join(
+        F.broadcast(held.select("label", "part", before.alias("before"))), ["label", "part"]
+    )
+    rank = F.col("nth") + F.col("before")
+    of_label = F.when(F.col("label") == 1, n[1]).otherwise(n[0])
+    places = F.when(of_label >= count, F.array(rank % count)).otherwise(F.sequence(rank, F.lit(count - 1).cast("long"), of_label.cast("long")))
+    dealt = ranked.select("label", "x", F.explode(places).alias("block"))
+    listed = [F.sort_array(F.collect_list(F.when(F.col("label") == k, F.col("x")))).alias(name) for k, name in enumerate(("poor", "good"))]
+    return stored(dealt.groupBy("block").agg(*listed), "blocks")
+
+
+def _scaled(x: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / spread, -8, 8)
+
+
+def linear(x: Column, model: Model) -> Column:
+    """The linear score of a column of features."""
+    terms = zip(model.mean.tolist(), model.spread.tolist(), model.weights.tolist(), strict=True)
+    parts = [F.greatest(F.lit(-8.0), F.least(F.lit(8.0), (x[k] - m) / d)) * w for k, (m, d, w) in enumerate(terms)]
+    return F.aggregate(F.array(*parts), F.lit(0.0), lambda a, b: a + b)
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_id", text_col: str = "text", **options) -> Model:
+    """``fit_features`` of texts. A NULL text counts as empty."""
+    featured = with_features(docs.select(key_col, text_col), text_col)
+    return fit_features(featured, labels, label_col, key_col, **options)
+
+
+def fit_features(featured: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_id", features_col: str = "features",
+                 pairs: int = PAIRS, block: int = BLOCK, rounds: int = 50) -> Model:
+    """A model of all documents that ``labels`` (key, label) marks 1 (good) or 0 (poor), of their features.
+
+    Without rows of both classes there is no pair: all texts then get the same score, kept if there is any good row or
+    no row at all.
+    """
+    keyed = featured.select(F.col(key_col).alias("key"), F.col(features_col).alias("x"))
+    rows, n = labelled(keyed.withColumn("row", F.monotonically_increasing_id()), labels, key_col, label_col)
     width = len(FEATURES)
     if len(n) < 2:
         return Model(np.zeros(width), np.ones(width), np.zeros(width), np.inf if 0 in n else -np.inf)
-    table = _with_features(rows, "text", "x").toArrow()
-    x, label = np.array(table["x"].to_pylist()).reshape(-1, width), table["label"].to_numpy()
-    poor, good = x[label == 0], x[label == 1]
-    mean, spread = np.vstack([poor, good]).mean(axis=0), np.vstack([poor, good]).std(axis=0)
+    x = [F.col("x")[k] for k in range(width)]
+    moments = np.array(rows.agg(*[f(c) for f in (F.avg, F.stddev_pop) for c in x]).first(), dtype=float)
+    mean, spread = moments[:width], moments[width:]
     spread[spread < 1e-9] = 1
-    poor, good = (np.clip((x - mean) / spread, -8, 8) for x in (poor, good))
-    rng = np.random.default_rng(0)
-    count = pairs * max(len(poor), len(good))
-    better, worse = (np.concatenate([rng.permutation(len(x)) for _ in range(-(-count // len(x)))])[:count] for x in (good, poor))
-    difference = good[better] - poor[worse]
-
-    def gradient(w):
-        z = difference @ w
-        loss = float(np.logaddexp(0, -z).mean() + 1e-3 * (w @ w))
-        return loss, -(difference.T @ sigmoid(-z)) / count + 2e-3 * w
-
-    w = minimize(gradient, np.zeros(width), rounds)
-    scores = np.concatenate([poor @ w, good @ w])
-    weights = np.concatenate([np.full(len(poor), n[0] / len(poor)), np.full(len(good), n[1] / len(good))])
-    return Model(mean, spread, w, weighted_quantile(scores, weights, n[0] / (n[0] + n[1])))
+    blocks = _blocks(rows, n, block)
+
+    def derivatives(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        def make(batch):
+            total = np.zeros(2 + width + width * width)
+            for k in range(batch.num_rows):
+                poor, good = (
+                    _scaled(batch[name][k].values.flatten().to_numpy().reshape(-1, width), mean, spread) for name in ("poor", "good")
+                )
+                rng = np.random.default_rng(batch["block"][k].as_py())
+                count = pairs * max(len(poor), len(good))
+                better, worse = (
+                    np.concatenate([rng.permutation(len(x)) for _ in range(-(-count // len(x)))])[:count] for x in (good, poor)
+                )
+                difference = good[better] - poor[worse]
+                z = difference @ w
+                wrong = sigmoid(-z)
+                total[:2] += count, np.logaddexp(0, -z).sum()
+                total[2 : 2 + width] -= difference.T @ wrong
+                total[2 + width :] += ((difference * (wrong * (1 - wrong))[:, None]).T @ difference).ravel()
+            return total
+
+        total = summed(blocks, 2 + width + width * width, make)
+        total[1:] /= total[0]
+        hessian = total[2 + width :].reshape(width, width) + 2e-3 * np.eye(width)
+        return float(total[1] + 1e-3 * (w @ w)), total[2 : 2 + width] + 2e-3 * w, hessian
+
+    w = newton(derivatives, np.zeros(width), rounds)
+
+    ranking = Model(mean, spread, w, 0.0)
+    scores = stored(rows.select(linear(F.col("x"), ranking).alias("s")), "scores")
+    below, above = (nth_least(scores, "s", k) for k in (n[0] - 1, n[0]))
+    # The middle of the gap; equal scores on both sides of it are kept.
+    return ranking._replace(threshold=(below + above) / 2 if above - below > 1e-9 else below - 1e-9)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score", keep_at: float = KEEP_AT) -> DataFrame:
@@ -144,14 +194,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     NULL, empty and blank texts all have zero features and are scored by them. Each row is scored by its text alone;
     other columns pass through.
     """
-    mean, spread, weights, threshold = model
+    held = free_name(docs, "features")
+    return score_features(with_features(docs, text_col, held), model, held, name, keep_at)
 
-    def make():
-        def compute(texts: list[bytes]) -> list[pa.Array]:
-            x = np.array([features(t) for t in texts]).reshape(-1, len(mean))
-            s = np.clip((x - mean) / spread, -8, 8) @ weights
-            return [pa.array(sigmoid(s - threshold + np.log(keep_at / (1 - keep_at))))]
-
-        return compute
 
-    return from_texts(docs, text_col, f"{name} double", make, keep_text=False)
+def score_features(featured: DataFrame, model: Model, features_col: str = "features", name: str = "score", keep_at: float = KEEP_AT) -> DataFrame:
+    """``score`` of texts whose features are known; ``features_col`` is dropped."""
+    z = linear(F.col(features_col), model) - F.lit(float(model.threshold)) + float(np.log(keep_at / (1 - keep_at)))
+    return featured.withColumn(name, 1 / (1 + F.exp(-z))).drop(features_col)

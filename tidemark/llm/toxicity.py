@@ -1,12 +1,14 @@
 """Toxicity by a character n-gram linear classifier on naive Bayes features.
 
 A document is the set of its byte n-grams, hashed. The log-count ratio r of each n-gram, how much likelier toxic
-documents hold it than others, is counted in Spark over a bounded sample of labelled documents. The classifier is a
-logistic regression on features scaled by r; n-grams whose ratio is within chance carry none.
+documents hold it than others, is counted in Spark over all labelled documents. The classifier is a logistic
+regression on features scaled by r, fitted on all of them: tasks sum up the gradient. N-grams whose ratio is within
+chance carry none.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -15,15 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, byte_column, from_texts, labelled_sample, slices
+from .common import LOWER, byte_column, free_name, from_texts, labelled, slices, stored, summed
 from .linear import distinct, minimize, ngram_ids, sigmoid
 
 ORDERS = (3, 4, 5, 6)
 BITS = 20
 
-#: Labelled documents of each class that the ratios and weights are learnt from, at most.
-SAMPLE = 6000
-
 #: N-grams kept: those whose log-count ratio is furthest beyond chance, at most so many.
 FEATURES = 10_000
 
@@ -53,8 +52,19 @@ def _ids(text: bytes, orders: tuple[int, ...], bits: int, mark: np.ndarray, stre
     return parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
 
 
+def _packed(docs: DataFrame, key_col: str, text_col: str) -> DataFrame:
+    """(key, text) with compressed texts, which meet their labels in a shuffle."""
+
+    def make():
+        return lambda texts: [pa.array([zlib.compress(t, 1) for t in texts], pa.binary())]
+
+    held = free_name(docs, "packed")
+    packed = from_texts(docs.select(key_col, text_col), text_col, f"`{held}` binary", make, keep_text=False)
+    return packed.select(F.col(key_col).alias("key"), F.col(held).alias("text"))
+
+
 def gram_counts(labelled: DataFrame, orders: tuple[int, ...], bits: int) -> DataFrame:
-    """(id, pos, neg): documents of each class that hold an n-gram, of (label, text) rows; id -1 counts documents."""
+    """(id, pos, neg): documents of each class that hold an n-gram, of (label, compressed text) rows; id -1 counts documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, 1 << bits), dtype=np.int64)
@@ -62,7 +72,7 @@ def gram_counts(labelled: DataFrame, orders: tuple[int, ...], bits: int) -> Data
         mark = np.zeros(1 << bits, dtype=np.int32)
         for part in slices(batches):
             for label, text in zip(part.column(0).to_pylist(), byte_column(part.column(1)), strict=True):
-                counts[label][_ids(text, orders, bits, mark)] += 1
+                counts[label][_ids(zlib.decompress(text), orders, bits, mark)] += 1
                 docs[label] += 1
         held = np.flatnonzero(counts.any(axis=0))
         for a in range(0, len(held), 50_000):
@@ -75,8 +85,8 @@ def gram_counts(labelled: DataFrame, orders: tuple[int, ...], bits: int) -> Data
     )
 
 
-def _held(rows: DataFrame, kept: np.ndarray, orders: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Labels of the sampled rows, how many n-grams of ``kept`` each holds, and their places in it, row after row."""
+def _held(rows: DataFrame, kept: np.ndarray, orders: tuple[int, ...], bits: int) -> DataFrame:
+    """Stored (label, grams): of each of the rows, the places in ``kept`` of the n-grams it holds."""
     sent = rows.sparkSession.sparkContext.broadcast(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,23 +94,21 @@ def _held(rows: DataFrame, kept: np.ndarray, orders: tuple[int, ...], bits: int)
         place[sent.value] = np.arange(len(sent.value))
         mark = np.zeros(1 << bits, dtype=np.int32)
         for part in slices(batches):
-            found = [place[_ids(t, orders, bits, mark)] for t in byte_column(part.column(1))]
+            found = [place[_ids(zlib.decompress(t), orders, bits, mark)] for t in byte_column(part.column(1))]
             rows = [np.sort(x[x >= 0]) for x in found]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.int32()))], ["label", "grams"])
 
-    got = rows.mapInArrow(run, "label int, grams array<int>").toArrow().combine_chunks()
-    grams = got["grams"].combine_chunks()
-    return got["label"].to_numpy(), grams.value_lengths().to_numpy(), grams.flatten().to_numpy()
+    return stored(rows.mapInArrow(run, "label int, grams array<int>"), "grams")
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
+def fit(docs: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_id", text_col: str = "text",
         orders: tuple[int, ...] = ORDERS, bits: int = BITS, features: int = FEATURES, penalty: float = PENALTY, rounds: int = 100) -> Model:
-    """A model of the documents that ``labels`` (key, label) marks 0 or 1, at most ``sample`` of each.
+    """A model of all documents that ``labels`` (key, label) marks 0 or 1.
 
-    A NULL text holds nothing. The key only decides which rows are sampled; the shares of the classes are those of all
-    labels. Without rows of both classes the model scores all texts with the share of class 1 (one half without rows).
+    A NULL text holds nothing. Without rows of both classes the model scores all texts with the share of class 1 (one
+    half without rows).
     """
-    rows, n = labelled_sample(docs, labels, key_col, label_col, text_col, sample)
+    rows, n = labelled(_packed(docs, key_col, text_col), labels, key_col, label_col)
     # At most 2 ** bits rows and one.
     table = gram_counts(rows, orders, bits).toArrow()
     ids, pos, neg = (table[c].to_numpy() for c in ("id", "pos", "neg"))
@@ -117,17 +125,28 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, key_col: str = "doc_
     order = np.lexsort((ids, -strength))[:features]
     order = order[strength[order] > 3]
     kept, scale = ids[order], ratio[order]
-    labels, counts, held = _held(rows, kept, orders, bits)
-    row = np.repeat(np.arange(len(labels), dtype=np.int32), counts)
-    # A class counts as the whole training table has it, however many of it the sample holds.
-    each = np.where(labels == 1, share / max(1, labels.sum()), (1 - share) / max(1, (1 - labels).sum()))
+    held = _held(rows, kept, orders, bits)
+    # The classes count by their smoothed shares.
+    each = (1 - share) / n_neg, share / n_pos
+    size = len(kept)
 
     def gradient(w):
-        z = np.bincount(row, (w[:-1] * scale)[held], len(labels)) + w[-1]
-        error = each * (sigmoid(z) - labels)
-        loss = float(each @ (np.logaddexp(0, z) - labels * z) + penalty * (w[:-1] @ w[:-1]))
-        slope = np.bincount(held, error[row], len(kept)) * scale
-        return loss, np.append(slope + 2 * penalty * w[:-1], error.sum())
+        sent = held.sparkSession.sparkContext.broadcast((w[:-1] * scale, w[-1]))
+
+        def make(batch):
+            label, grams = batch["label"].to_numpy(), batch["grams"]
+            ids = grams.flatten().to_numpy()
+            row = np.repeat(np.arange(len(label), dtype=np.int32), grams.value_lengths().to_numpy())
+            z = np.bincount(row, sent.value[0][ids], len(label)) + sent.value[1]
+            weight = np.where(label == 1, each[1], each[0])
+            error = weight * (sigmoid(z) - label)
+            loss = weight @ (np.logaddexp(0, z) - label * z)
+            return np.concatenate([np.bincount(ids, error[row], size), [error.sum(), loss]])
+
+        total = summed(held, size + 2, make)
+        sent.destroy()
+        loss = float(total[-1] + penalty * (w[:-1] @ w[:-1]))
+        return loss, np.append(total[:size] * scale + 2 * penalty * w[:-1], total[-2])
 
     w = minimize(gradient, np.append(np.zeros(len(kept)), np.log(share / (1 - share))), rounds)
     weights[kept] = w[:-1] * scale
