@@ -1,10 +1,11 @@
 import random
 from collections import Counter
+from hashlib import sha256
 
 import pytest
 from helpers import ODD_TEXTS, docs, empty, prose
 
-from tidemark.llm import common, pfparse
+from tidemark.llm import common, pfparse, queries
 
 
 def plain(texts, length):
@@ -62,3 +63,19 @@ def test_buckets_follow_the_bytes_and_leave_no_table(spark, monkeypatch):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and f"SelectedBucketsCount: {n} out of {n}" in plan
     assert joined.count() == 60
+
+
+def test_query_equals_a_count_of_every_400_bytes(spark, tmp_path):
+    """The driver's rows, and passages of 51 words in two texts each: one of 399 bytes, which stays, and one of 400."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    words = prose(5, 51, 10**5)
+    for k, size in enumerate((399, 400)):
+        # The spaces at both ends count; a last word of its own keeps the passages apart.
+        passage = f" {words}{'ab'[k] * (size - 2 - len(words))} "
+        assert len(passage) == size and len(passage.split()) == 51
+        rows += [(10**6 + 2 * k + j, f"{prose(10 + 2 * k + j, 60, 10**6)} {'xy'[j]}{passage}{'yx'[j]} end {k} {j}") for j in range(2)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.QUERIES["op5_substring_dedup"](spark, str(tmp_path)).collect()}
+    assert [got[10**6 + k][1] for k in range(4)] == [0, 0, 400, 400]
+    want = plain([(t or "").encode() for _, t in rows], 400)
+    assert got == {i: (n, n - len(kept), spans, sha256(kept).hexdigest()) for (i, _), (n, kept, spans) in zip(rows, want, strict=True)}
