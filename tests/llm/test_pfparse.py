@@ -79,3 +79,38 @@ def test_query_equals_a_count_of_every_400_bytes(spark, tmp_path):
     assert [got[10**6 + k][1] for k in range(4)] == [0, 0, 400, 400]
     want = plain([(t or "").encode() for _, t in rows], 400)
     assert got == {i: (n, n - len(kept), spans, sha256(kept).hexdigest()) for (i, _), (n, kept, spans) in zip(rows, want, strict=True)}
+
+
+def rows_read(spark) -> dict[tuple[int, int], list[int]]:
+    """Rows that the tasks of each stage so far have read from shuffles."""
+    gateway, store = spark.sparkContext._gateway, spark.sparkContext._jsc.sc().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    none = gateway.jvm.java.util.ArrayList()
+    stages = store.stageList(none, False, False, gateway.new_array(gateway.jvm.double, 0), none)
+    out = {}
+    for s in (stages.apply(k) for k in range(stages.size())):
+        tasks = store.taskList(s.stageId(), s.attemptId(), 10_000) if s.shuffleReadRecords() else none
+        metrics = [tasks.apply(k).taskMetrics() for k in range(tasks.size())]
+        out[s.stageId(), s.attemptId()] = [m.get().shuffleReadMetrics().recordsRead() for m in metrics if m.isDefined()]
+    return out
+
+
+@pytest.mark.parametrize("tails,group_rows", [(0, 8192), (1, 2)])
+def test_no_task_reads_all_rows_of_a_frequent_passage(spark, tails, group_rows):
+    """2,000 copies of one text, and a passage before 2,000 tails of their own, in 64 partitions."""
+    passage = prose(3, 40, 10**6)
+    texts = [passage + (f" {prose(100 + k, 12, 10**6)}" if tails else "") for k in range(2000)]
+    before = set(rows_read(spark))
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    were = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = pfparse.remove_repeats(docs(spark, list(enumerate(texts))), length=100, reach=32, group_rows=group_rows)
+        got = {r["doc_id"]: (r["bytes"], bytes(r["kept"]), len(r["spans"])) for r in got.collect()}
+    finally:
+        for k, v in were.items():
+            spark.conf.set(k, v)
+    assert got == dict(enumerate(plain([t.encode() for t in texts], 100)))
+    assert max(max(v) for k, v in rows_read(spark).items() if k not in before and v) < 1500
